@@ -95,7 +95,7 @@ def _latency_percentiles(tx: DataFrame, *keys: str) -> DataFrame:
         "bucket",
         *keys,
         "settled_count",
-        *[(F.col(q) / F.lit(1e6)).alias(q) for q in QUANTILES],
+        *[F.round(F.col(q) / F.lit(1e6), 6).alias(q) for q in QUANTILES],
     )
 
 

@@ -84,8 +84,8 @@ def cagg_latency_daily(v: Views):
 
 
 PERCENTILES = """SELECT date_trunc('day', created_at) AS bucket, {keys}, count(*) AS settled_count,
-  quantile_cont(CAST(settle_ms * 1000 AS DOUBLE), 0.95) / 1e6 AS p95_seconds,
-  quantile_cont(CAST(settle_ms * 1000 AS DOUBLE), 0.99) / 1e6 AS p99_seconds
+  round(quantile_cont(CAST(settle_ms * 1000 AS DOUBLE), 0.95) / 1e6, 6) AS p95_seconds,
+  round(quantile_cont(CAST(settle_ms * 1000 AS DOUBLE), 0.99) / 1e6, 6) AS p99_seconds
 FROM tx WHERE settled_at IS NOT NULL GROUP BY ALL"""
 
 

@@ -197,7 +197,7 @@ def scalar_time_bucket(v: Views):
         "tx anchor",
         """SELECT id, epoch_us(settled_at) - epoch_us(created_at) AS micros,
           CAST(settle_ms AS DOUBLE) / 1000 AS seconds,
-          epoch_ms(settled_at) - epoch_ms(created_at) AS millis,
+          (epoch_us(settled_at) // 1000) - (epoch_us(created_at) // 1000) AS millis,
           date_diff('second', created_at, settled_at) AS boundary_s,
           date_diff('minute', created_at, as_of) AS boundary_m
         FROM tx, anchor""",

@@ -18,7 +18,7 @@ from paytide.sources import bulk, cdc, increment, reference
     sql(
         "tx",
         """SELECT CAST(strftime(created_at, '%Y%m') AS INTEGER) AS yyyymm, count(*) AS n_rows,
-          CAST(sum(amount) AS DOUBLE) AS total, max(epoch_ms(updated_at)) AS max_version,
+          CAST(sum(amount) AS DOUBLE) AS total, max((epoch_us(updated_at) // 1000)) AS max_version,
           CAST(sum(settle_ms) AS DOUBLE) AS settle_ms, 0 AS deleted
         FROM tx GROUP BY 1""",
     ),
@@ -309,7 +309,7 @@ def change_events(tx):
           CASE WHEN k = 22 THEN 0 ELSE source_account_id END AS source_account_id,
           CASE WHEN k = 22 THEN 0 ELSE destination_account_id END AS destination_account_id,
           settlement_seconds, metadata,
-          CASE WHEN k = 21 THEN epoch_ms(created_at) ELSE epoch_ms(updated_at) END AS _version,
+          CASE WHEN k = 21 THEN (epoch_us(created_at) // 1000) ELSE (epoch_us(updated_at) // 1000) END AS _version,
           CASE WHEN k = 9 THEN 1 ELSE 0 END AS _is_deleted
         FROM marked WHERE reason IS NULL""",
     ),
@@ -336,10 +336,10 @@ def cdc_dlq_reasons(v: Views):
     "volume_now_json",
     sql(
         "live",
-        """a AS (SELECT max(created_at) AS at FROM live),
+        """a AS (SELECT max(created_at) AS newest FROM live),
         r AS (SELECT type, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM live, a
-              WHERE created_at >= at - INTERVAL 60 MINUTE GROUP BY 1)
-        SELECT '{"window":"60m","anchor":"' || strftime((SELECT at FROM a), '%Y-%m-%dT%H:%M:%S.%f') || '","data":['
+              WHERE created_at >= newest - INTERVAL 60 MINUTE GROUP BY 1)
+        SELECT '{"window":"60m","anchor":"' || strftime((SELECT newest FROM a), '%Y-%m-%dT%H:%M:%S.%f') || '","data":['
           || string_agg('{"type":"' || type || '","tx_count":' || n || ',"total_amount":"'
              || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) || '"}', ',' ORDER BY n DESC, type)
           || ']}' AS payload

@@ -52,6 +52,19 @@ def _iso_time(text: Column) -> Column:
     return F.when(text.rlike(_ISO), F.try_to_timestamp(text))
 
 
+_IMAGE_FIELDS = (
+    "id", "external_id", "amount", "currency", "status", "type", "source_institution",
+    "destination_institution", "source_account_id", "destination_account_id", "created_at",
+    "settled_at", "updated_at", "metadata",
+)
+
+
+def _once(df: DataFrame, value: Column, name: str, *keep: str) -> DataFrame:
+    """Add a column the optimizer computes once per row: filters on what is derived from it
+    are not moved below a generator, so they cannot repeat the parse."""
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
+
+
 def parse_cdc(events: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """One typed row per event plus ``_reason`` (null when the event is good).
 
@@ -59,72 +72,76 @@ def parse_cdc(events: DataFrame, ingested_at: Column | None = None) -> DataFrame
     The version is the row's change time in milliseconds, or the event's own time when
     the row carries none. Bad events never raise: each keeps its text and gets a reason.
     """
-    doc = events.select(F.col("value").cast("string").alias("_text")).select(
-        "_text", F.try_parse_json("_text").alias("_doc")
+    texts = events.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("_text"))
+    # inside an array, text after the first JSON value is an error instead of being ignored
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("_text"), F.lit("]")))
+    doc = _once(texts, wrapped, "_doc", "_text")
+
+    def at(path: str, kind: str = "string") -> Column:
+        return F.try_variant_get("_doc", f"$[0]{path}", kind)
+
+    def is_object(path: str) -> Column:
+        kind = F.schema_of_variant(at(path, "variant"))
+        return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+
+    image_type = "struct<" + ",".join(f"{f}:string" for f in _IMAGE_FIELDS) + ">"
+    op = at(".payload.op")
+    image = F.when(op == "d", at(".payload.before", image_type)).otherwise(
+        at(".payload.after", image_type)
     )
-
-    def at(path: str, kind: str = "string", of: str = "_doc") -> Column:
-        return F.try_variant_get(of, f"$.{path}", kind)
-
-    def is_object(column: Column) -> Column:
-        return F.coalesce(F.schema_of_variant(column).startswith("OBJECT"), F.lit(False))
-
-    def strict(path: str) -> Column:
-        return F.try_variant_get("_row", f"$.{path}", "string")
-
-    opened = doc.select(
-        "*",
-        at("payload", "variant").alias("_payload"),
-        at("payload.op").alias("_op"),
-        at("payload.source.ts_ms", "bigint").alias("_ts_ms"),
-    ).select(
-        "*",
-        F.when(F.col("_op") == "d", at("payload.before", "variant"))
-        .otherwise(at("payload.after", "variant"))
-        .alias("_row"),
+    single = at("", "variant").isNotNull() & F.try_variant_get("_doc", "$[1]", "variant").isNull()
+    opened = _once(
+        doc,
+        F.struct(
+            F.coalesce(single, F.lit(False)).alias("is_json"),
+            is_object("").alias("is_object"),
+            is_object(".payload").alias("has_payload"),
+            op.alias("op"),
+            at(".payload.source.ts_ms", "bigint").alias("ts_ms"),
+            image.alias("row"),
+        ),
+        "_e",
+        "_text",
     )
-    updated_text = strict("updated_at")
+
+    def field(name: str) -> Column:
+        return F.col(f"_e.row.{name}")
+
+    def account(name: str) -> Column:
+        return F.coalesce(field(name).try_cast("bigint"), F.lit(0).cast("bigint")).alias(name)
+
+    has_update = F.coalesce(field("updated_at"), F.lit("")) != ""
     fields = opened.select(
         "_text",
-        "_doc",
-        "_payload",
-        "_op",
-        "_row",
-        strict("external_id").alias("external_id"),
-        strict("id").try_cast("bigint").alias("tx_id"),
-        _iso_time(strict("created_at")).alias("created_at"),
-        _iso_time(strict("settled_at")).alias("settled_at"),
-        strict("type").alias("type"),
-        strict("status").alias("status"),
-        strict("amount").try_cast("decimal(18,2)").alias("amount"),
-        F.coalesce(strict("currency"), F.lit("BRL")).alias("currency"),
-        strict("source_institution").alias("source_institution"),
-        strict("destination_institution").alias("destination_institution"),
-        F.coalesce(strict("source_account_id").try_cast("bigint"), F.lit(0).cast("bigint")).alias(
-            "source_account_id"
-        ),
-        F.coalesce(
-            strict("destination_account_id").try_cast("bigint"), F.lit(0).cast("bigint")
-        ).alias("destination_account_id"),
-        F.coalesce(F.nullif(strict("metadata"), F.lit("")), F.lit("{}")).alias("metadata"),
-        F.coalesce(
-            F.unix_millis(_iso_time(updated_text)),
-            F.when(F.coalesce(updated_text, F.lit("")) == "", F.col("_ts_ms")),
-        ).alias("_version"),
-        F.when(F.col("_op") == "d", 1).otherwise(0).alias("_is_deleted"),
-        strict("settled_at").alias("_settled_text"),
-        F.coalesce(updated_text, F.lit("")).alias("_updated_text"),
+        "_e",
+        field("external_id").alias("external_id"),
+        field("id").try_cast("bigint").alias("tx_id"),
+        _iso_time(field("created_at")).alias("created_at"),
+        _iso_time(field("settled_at")).alias("settled_at"),
+        field("type").alias("type"),
+        field("status").alias("status"),
+        field("amount").try_cast("decimal(18,2)").alias("amount"),
+        F.coalesce(field("currency"), F.lit("BRL")).alias("currency"),
+        field("source_institution").alias("source_institution"),
+        field("destination_institution").alias("destination_institution"),
+        account("source_account_id"),
+        account("destination_account_id"),
+        F.coalesce(F.nullif(field("metadata"), F.lit("")), F.lit("{}")).alias("metadata"),
+        F.when(has_update, F.unix_millis(_iso_time(field("updated_at"))))
+        .otherwise(F.col("_e.ts_ms"))
+        .alias("_version"),
+        F.when(F.col("_e.op") == "d", 1).otherwise(0).alias("_is_deleted"),
     )
     checks = (
-        F.col("_doc").isNull(),
-        ~is_object(F.col("_doc")),
-        ~is_object(F.col("_payload")),
-        F.col("_op").isNull(),
-        ~is_object(F.col("_row")),
+        ~F.col("_e.is_json"),
+        ~F.col("_e.is_object"),
+        ~F.col("_e.has_payload"),
+        F.col("_e.op").isNull(),
+        F.col("_e.row").isNull(),
         F.col("amount").isNull(),
         F.col("created_at").isNull()
-        | (F.col("_settled_text").isNotNull() & F.col("settled_at").isNull()),
-        F.col("_version").isNull() & (F.col("_updated_text") != ""),
+        | (field("settled_at").isNotNull() & F.col("settled_at").isNull()),
+        F.col("_version").isNull() & has_update,
         F.col("_version").isNull(),
         F.col("tx_id").isNull(),
         F.col("external_id").isNull()
