@@ -59,6 +59,13 @@ _IMAGE_FIELDS = (
 )
 
 
+_IMAGE = "struct<" + ",".join(f"{f}:string" for f in _IMAGE_FIELDS) + ">"
+_ENVELOPES = (
+    "array<struct<payload:struct<op:string,"
+    f"before:{_IMAGE},after:{_IMAGE},source:struct<ts_ms:string>>>>"
+)
+
+
 def _once(df: DataFrame, value: Column, name: str, *keep: str) -> DataFrame:
     """Add a column the optimizer computes once per row: filters on what is derived from it
     are not moved below a generator, so they cannot repeat the parse."""
@@ -74,30 +81,29 @@ def parse_cdc(events: DataFrame, ingested_at: Column | None = None) -> DataFrame
     """
     texts = events.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("_text"))
     # inside an array, text after the first JSON value is an error instead of being ignored
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("_text"), F.lit("]")))
-    doc = _once(texts, wrapped, "_doc", "_text")
-
-    def at(path: str, kind: str = "string") -> Column:
-        return F.try_variant_get("_doc", f"$[0]{path}", kind)
-
-    def is_object(path: str) -> Column:
-        kind = F.schema_of_variant(at(path, "variant"))
-        return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-
-    image_type = "struct<" + ",".join(f"{f}:string" for f in _IMAGE_FIELDS) + ">"
-    op = at(".payload.op")
-    image = F.when(op == "d", at(".payload.before", image_type)).otherwise(
-        at(".payload.after", image_type)
+    wrapped = F.concat(F.lit("["), F.col("_text"), F.lit("]"))
+    parsed = _once(
+        texts, F.from_json(wrapped, _ENVELOPES, {"allowSingleQuotes": "false"}), "_docs", "_text"
     )
-    single = at("", "variant").isNotNull() & F.try_variant_get("_doc", "$[1]", "variant").isNull()
+    payload = F.when(F.size("_docs") == 1, F.col("_docs")[0]["payload"])
+    # only events without a usable payload are looked at again, to say why
+    doc = F.try_parse_json(wrapped)
+    only = F.try_variant_get(doc, "$[0]", "variant")
+    is_json = only.isNotNull() & F.try_variant_get(doc, "$[1]", "variant").isNull()
+    is_object = F.coalesce(F.schema_of_variant(only).startswith("OBJECT"), F.lit(False))
+    problem = F.when(
+        payload.isNull(),
+        F.when(~F.coalesce(is_json, F.lit(False)), REASONS[0])
+        .when(~is_object, REASONS[1])
+        .otherwise(REASONS[2]),
+    )
+    image = F.when(payload["op"] == "d", payload["before"]).otherwise(payload["after"])
     opened = _once(
-        doc,
+        parsed,
         F.struct(
-            F.coalesce(single, F.lit(False)).alias("is_json"),
-            is_object("").alias("is_object"),
-            is_object(".payload").alias("has_payload"),
-            op.alias("op"),
-            at(".payload.source.ts_ms", "bigint").alias("ts_ms"),
+            problem.alias("problem"),
+            payload["op"].alias("op"),
+            payload["source"]["ts_ms"].try_cast("bigint").alias("ts_ms"),
             image.alias("row"),
         ),
         "_e",
@@ -133,9 +139,6 @@ def parse_cdc(events: DataFrame, ingested_at: Column | None = None) -> DataFrame
         F.when(F.col("_e.op") == "d", 1).otherwise(0).alias("_is_deleted"),
     )
     checks = (
-        ~F.col("_e.is_json"),
-        ~F.col("_e.is_object"),
-        ~F.col("_e.has_payload"),
         F.col("_e.op").isNull(),
         F.col("_e.row").isNull(),
         F.col("amount").isNull(),
@@ -150,7 +153,10 @@ def parse_cdc(events: DataFrame, ingested_at: Column | None = None) -> DataFrame
         | F.col("source_institution").isNull()
         | F.col("destination_institution").isNull(),
     )
-    reason = F.coalesce(*[F.when(c, F.lit(r)) for c, r in zip(checks, REASONS, strict=True)])
+    reason = F.coalesce(
+        F.col("_e.problem"),
+        *[F.when(c, F.lit(r)) for c, r in zip(checks, REASONS[3:], strict=True)],
+    )
     return fields.select(
         "external_id",
         "tx_id",
