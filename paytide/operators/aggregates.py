@@ -16,6 +16,7 @@ from paytide.functions.timing import (
     month_key,
     seconds_between,
 )
+from paytide.operators.versions import live
 
 QUANTILES = {"p95_seconds": 0.95, "p99_seconds": 0.99}
 
@@ -173,11 +174,14 @@ def total_vs_unique(raw: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def volume_now(live: DataFrame, minutes: int = 5, anchor: Instant | None = None) -> DataFrame:
-    """Count and amount by type in the last minutes before the newest transaction."""
-    at = as_of(live) if anchor is None else anchor
+def volume_now(raw: DataFrame, minutes: int = 5, anchor: Instant | None = None) -> DataFrame:
+    """Count and amount by type in the last minutes before the newest transaction.
+
+    ``raw`` is versioned; only the versions inside the window are resolved.
+    """
+    at = as_of(raw) if anchor is None else anchor
     return (
-        live.filter(last("created_at", f"{minutes} minutes", at))
+        live(raw.filter(last("created_at", f"{minutes} minutes", at)))
         .groupBy("type")
         .agg(F.count("*").alias("tx_count"), F.sum("amount").alias("total_amount"))
         .orderBy(F.desc("tx_count"), "type")
@@ -203,12 +207,17 @@ def to_payload(rows: DataFrame, window: str, anchor: Instant, *columns: str) ->
 
 
 def hourly_drilldown(
-    live: DataFrame, start: Instant, end: Instant, type_: str, institution: str
+    raw: DataFrame, start: Instant, end: Instant, type_: str, institution: str
 ) -> DataFrame:
-    """One type and institution by hour in ``[start, end)``; every filter is on a raw column."""
+    """One type and institution by hour in ``[start, end)``.
+
+    Every filter is on a raw column and applies before versions are resolved.
+    """
+    chosen = raw.filter((F.col("created_at") >= start) & (F.col("created_at") < end)).filter(
+        (F.col("type") == type_) & (F.col("source_institution") == institution)
+    )
     return (
-        live.filter((F.col("created_at") >= start) & (F.col("created_at") < end))
-        .filter((F.col("type") == type_) & (F.col("source_institution") == institution))
+        live(chosen)
         .groupBy(F.date_trunc("hour", "created_at").alias("hour"))
         .agg(
             F.count("*").alias("tx_count"),

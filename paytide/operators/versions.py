@@ -38,7 +38,10 @@ def final(raw: DataFrame) -> DataFrame:
 
 
 def live(raw: DataFrame) -> DataFrame:
-    """Current rows only. The delete flag is read after versions are resolved: filtering
+    """Current rows only. Callers cut ``raw`` to their time span first: a transaction's
+    creation time is the same in all its versions, so no version is lost, and the history
+    outside the span is never resolved.
+    The delete flag is read after versions are resolved: filtering
     first would bring back the older version of a deleted row."""
     return final(raw).filter(F.col("_is_deleted") == 0)
 
@@ -54,33 +57,42 @@ def final_vs_physical(raw: DataFrame) -> DataFrame:
 
 
 def purge_old_versions(raw: DataFrame, touched: Column) -> DataFrame:
-    """Physically remove superseded versions, but only of the keys ``touched`` marks."""
+    """Physically remove superseded versions, but only of the keys ``touched`` marks.
+
+    The newest version per key is an aggregate, combined before it moves, and is joined
+    back; a key with very many versions is then split by the skewed-join rule instead of
+    being buffered whole.
+    """
     keyed = _with_key(raw)
-    everything = Window.partitionBy(*KEY)
-    top = keyed.withColumn("_top", F.max("_version").over(everything))
-    hit = F.max(touched.cast("int")).over(everything) == 1
-    return (
-        top.withColumn("_hit", hit)
-        .filter(~F.col("_hit") | (F.col("_version") == F.col("_top")))
-        .drop("hour", "_top", "_hit")
+    top = (
+        keyed.groupBy(*KEY)
+        .agg(F.max("_version").alias("_top"), F.max(touched.cast("int")).alias("_hit"))
+        .filter(F.col("_hit") == 1)
+        .drop("_hit")
     )
+    kept = F.col("_top").isNull() | (F.col("_version") == F.col("_top"))
+    return keyed.join(top, list(KEY), "left").filter(kept).select(*raw.columns)
 
 
 def compact(spark: SparkSession, path: str, months: list[int]) -> None:
     """Rewrite the months to one version per key.
 
-    Rows go through a staging folder because a partition cannot be overwritten while it is
-    read. The compacted batch is written before the old batches go; in between, readers see
-    extra versions, which ``final`` resolves.
+    Only the batches present now are merged, so a stream may keep appending: its batch ids
+    are positive and grow, and a compacted batch takes a negative id of its own. Rows go
+    through a staging folder because a partition cannot be overwritten while it is read.
+    The compacted batch is written before the old ones go; in between, and after a crash
+    there, readers see extra versions, which ``final`` resolves.
     """
     table = spark.read.schema(f"{RAW_SCHEMA}, batch_id BIGINT").parquet(path)
-    staging = workspace(spark, "compact")
-    chosen = table.filter(F.col("yyyymm").isin(months))
-    final(chosen).drop("batch_id").write.partitionBy("yyyymm").parquet(staging)
-    merged = spark.read.schema(RAW_SCHEMA).parquet(staging)
-    newest = chosen.agg(F.max("batch_id")).head()[0]
-    lake.write_batch(merged, path, newest + 1)
     for month in months:
-        for batch in lake.partitions(spark, f"{path}/yyyymm={month}", "batch_id"):
-            if int(batch) <= newest:
-                lake.drop_partition(spark, path, f"yyyymm={month}/batch_id={batch}")
+        folder = f"{path}/yyyymm={month}"
+        present = [int(b) for b in lake.partitions(spark, folder, "batch_id")]
+        if not present:
+            continue
+        chosen = table.filter((F.col("yyyymm") == month) & (F.col("batch_id") <= max(present)))
+        staging = workspace(spark, "compact")
+        final(chosen).drop("batch_id").write.parquet(staging)
+        merged_id = -1 - max(abs(b) for b in present)
+        lake.write_batch(spark.read.schema(RAW_SCHEMA).parquet(staging), path, merged_id)
+        for batch in present:
+            lake.drop_partition(spark, folder, f"batch_id={batch}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paytide.functions.timing import (
@@ -13,6 +13,7 @@ from paytide.functions.timing import (
     seconds_between,
     slot_of,
 )
+from paytide.operators.versions import live
 
 PAYMENT_KEYS = ("amount", "source_account_id", "destination_account_id")
 
@@ -86,15 +87,18 @@ def duplicates_consecutive(
 
 
 def fraud_duplicates(
-    live: DataFrame,
+    raw: DataFrame,
     anchor: Instant,
     hours: int = 24,
     window_seconds: int = 300,
     limit: int = 100,
     keys: tuple[str, ...] = PAYMENT_KEYS,
 ) -> DataFrame:
-    """The alerting form over current rows: whole-second distance, newest first, bounded."""
-    recent = live.filter(last("created_at", f"{hours} hours", anchor))
+    """The alerting form over current rows: whole-second distance, newest first, bounded.
+
+    The versioned table is cut to the window before its versions are resolved.
+    """
+    recent = live(raw.filter(last("created_at", f"{hours} hours", anchor)))
     # a boundary count of N seconds can span just under N + 1 elapsed seconds
     paired = with_previous(
         recent, keys, "created_at", ("tx_id",), window_seconds + 1, {"previous_at": "created_at"}
@@ -118,10 +122,31 @@ def fraud_duplicates(
     )
 
 
-def stage_durations(events: DataFrame, by: str = "tx_id", at: str = "changed_at") -> DataFrame:
-    """Time spent in each status, from a log with one row per status change."""
-    steps = Window.partitionBy(by).orderBy(at, "seq")
-    left: Column = F.lead(at).over(steps)
-    return events.withColumn("left_at", left).withColumn(
-        "seconds_in_stage", seconds_between("left_at", at)
+def with_next(
+    df: DataFrame, keys: tuple[str, ...], at: str, order: tuple[str, ...], name: str, slot_seconds: int
+) -> DataFrame:
+    """Add the following row's ``at``, however far away it is.
+
+    Rows are ordered within time slots of their key. The last row of a slot takes the
+    first instant of the key's next slot, found from one aggregated row per slot, so that
+    a key holding much of the table is still spread over its slots.
+    """
+    slotted = df.withColumn("_slot", slot_of(F.col(at), slot_seconds))
+    firsts = slotted.groupBy(*keys, "_slot").agg(F.min(at).alias("_first"))
+    by_slot = Window.partitionBy(*keys).orderBy("_slot")
+    following = firsts.select(*keys, "_slot", F.lead("_first").over(by_slot).alias("_following"))
+    inside = Window.partitionBy(*keys, "_slot").orderBy(at, *order)
+    led = slotted.withColumn("_next", F.lead(at).over(inside))
+    return (
+        led.join(following, [*keys, "_slot"])
+        .withColumn(name, F.coalesce("_next", "_following"))
+        .select(*df.columns, name)
     )
+
+
+def stage_durations(
+    events: DataFrame, by: str = "tx_id", at: str = "changed_at", slot_seconds: int = 86400
+) -> DataFrame:
+    """Time spent in each status, from a log with one row per status change."""
+    timed = with_next(events, (by,), at, ("seq",), "left_at", slot_seconds)
+    return timed.withColumn("seconds_in_stage", seconds_between("left_at", at))

@@ -6,9 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from paytide.functions.timing import aligned_cut, as_of, last, month_key, tumbling
+from paytide.functions.timing import aligned_cut, last, month_key, tumbling
 from paytide.operators import aggregates as agg
-from paytide.operators import joins, states
+from paytide.operators import joins, states, versions
 from paytide.plans.oracle import sql
 from paytide.plans.registry import query
 from paytide.plans.views import Views
@@ -227,11 +227,11 @@ def hourly_by_pair(v: Views):
     sql(
         "live",
         """SELECT type, count(*) AS tx_count, CAST(sum(amount) AS DOUBLE) AS total_amount
-        FROM live WHERE created_at >= (SELECT max(created_at) FROM live) - INTERVAL 60 MINUTE GROUP BY 1""",
+        FROM live WHERE created_at >= (SELECT max(created_at) FROM raw) - INTERVAL 60 MINUTE GROUP BY 1""",
     ),
 )
 def volume_now(v: Views):
-    return agg.volume_now(v.live, 60)
+    return agg.volume_now(v.raw, 60, v.as_of)
 
 
 @query(
@@ -248,7 +248,7 @@ def volume_now(v: Views):
 def pruned_day_drilldown(v: Views):
     """Both bounds are literals on the raw column, so they reach the scan."""
     start, end = datetime(2024, 1, 10), datetime(2024, 1, 20)
-    return agg.hourly_drilldown(v.live, start, end, "click", "007")
+    return agg.hourly_drilldown(v.raw, start, end, "click", "007")
 
 
 @query(
@@ -367,7 +367,7 @@ def status_funnel(v: Views):
     ),
 )
 def merge_daily_volume(v: Views):
-    return states.daily_volume(v.daily, v.as_of, 20, "click")
+    return states.daily_volume(v.daily_since("20 days"), v.as_of, 20, "click")
 
 
 @query(
@@ -382,7 +382,7 @@ def merge_daily_volume(v: Views):
     ),
 )
 def merge_named_volume(v: Views):
-    return states.named_volume(v.daily, v.dictionary, v.as_of, 7)
+    return states.named_volume(v.daily_since("7 days"), v.dictionary, v.as_of, 7)
 
 
 @query(
@@ -445,7 +445,9 @@ FROM r LEFT JOIN dict d ON d.code = r.code"""
     sql("funnel dict anchor", FLAGSHIP.format(type_key="", type_out="", where="AND type = 'click'")),
 )
 def success_rate_24h_vs_d1(v: Views):
-    return states.success_rate_vs_previous_day(v.funnel, v.dictionary, v.as_of, "click")
+    return states.success_rate_vs_previous_day(
+        v.funnel_since("48 hours"), v.dictionary, v.as_of, "click"
+    )
 
 
 @query(
@@ -453,7 +455,7 @@ def success_rate_24h_vs_d1(v: Views):
     sql("funnel dict anchor", FLAGSHIP.format(type_key="type,", type_out="type,", where="")),
 )
 def success_rate_24h_vs_d1_all_types(v: Views):
-    return states.success_rate_vs_previous_day(v.funnel, v.dictionary, v.as_of)
+    return states.success_rate_vs_previous_day(v.funnel_since("48 hours"), v.dictionary, v.as_of)
 
 
 HEALTH = """SELECT source_institution AS institution, coalesce(d.name, 'unknown') AS institution_name,
@@ -468,7 +470,7 @@ WHERE f.hour >= as_of - INTERVAL {hours} HOUR {where} GROUP BY 1, 2"""
 
 @query("institution_health", sql("funnel dict anchor", HEALTH.format(hours=24, where="")))
 def institution_health(v: Views):
-    return states.institution_health(v.funnel, v.dictionary, v.as_of, 24)
+    return states.institution_health(v.funnel_since("24 hours"), v.dictionary, v.as_of, 24)
 
 
 @query(
@@ -479,13 +481,15 @@ def institution_health(v: Views):
     ),
 )
 def institution_health_one(v: Views):
-    return states.institution_health(v.funnel, v.dictionary, v.as_of, 168, code="013")
+    return states.institution_health(
+        v.funnel_since("168 hours"), v.dictionary, v.as_of, 168, code="013"
+    )
 
 
 @query("institution_health_p95")
 def institution_health_p95(v: Views):
     """With the approximate P95 of settlement time from merged sketches."""
-    funnel = states.funnel_states(v.final, sketch=True)
+    funnel = v.funnel_since("168 hours", sketch=True)
     return states.institution_health(funnel, v.dictionary, v.as_of, 168)
 
 
@@ -532,8 +536,8 @@ def trigger_states_drift(v: Views):
     sql(
         "live",
         """SELECT status, count(*) AS n, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS pct FROM live
-        WHERE created_at >= (SELECT max(created_at) FROM live) - INTERVAL 7 DAY GROUP BY 1""",
+        WHERE created_at >= (SELECT max(created_at) FROM raw) - INTERVAL 7 DAY GROUP BY 1""",
     ),
 )
 def recent_live_share(v: Views):
-    return agg.share_of(v.live.filter(last("created_at", "7 days", as_of(v.live))), "status")
+    return agg.share_of(versions.live(v.raw.filter(last("created_at", "7 days", v.as_of))), "status")

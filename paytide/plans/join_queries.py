@@ -190,7 +190,7 @@ def q4_duplicates_lag_payment_keys(v: Views):
     "fraud_duplicates",
     sql(
         "live",
-        """a AS (SELECT max(created_at) AS as_of FROM live),
+        """a AS (SELECT max(created_at) AS as_of FROM raw),
         w AS (SELECT *, lag(created_at) OVER (PARTITION BY source_account_id, type
                ORDER BY created_at, tx_id) AS previous_at
           FROM live, a WHERE created_at >= as_of - INTERVAL 168 HOUR)
@@ -202,10 +202,8 @@ def q4_duplicates_lag_payment_keys(v: Views):
     ),
 )
 def fraud_duplicates(v: Views):
-    from paytide.functions.timing import as_of
-
     return windows.fraud_duplicates(
-        v.live, as_of(v.live), hours=168, window_seconds=900, limit=100, keys=LOOSE
+        v.raw, v.as_of, hours=168, window_seconds=900, limit=100, keys=LOOSE
     )
 
 

@@ -479,4 +479,4 @@ def prefix_and_tag_filters(v: Views):
     ),
 )
 def named_state_volume_short(v: Views):
-    return states.named_volume(v.daily, v.dictionary, v.as_of, 30, short=True)
+    return states.named_volume(v.daily_since("30 days"), v.dictionary, v.as_of, 30, short=True)

@@ -336,7 +336,7 @@ def cdc_dlq_reasons(v: Views):
     "volume_now_json",
     sql(
         "live",
-        """a AS (SELECT max(created_at) AS newest FROM live),
+        """a AS (SELECT max(created_at) AS newest FROM raw),
         r AS (SELECT type, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM live, a
               WHERE created_at >= newest - INTERVAL 60 MINUTE GROUP BY 1)
         SELECT '{"window":"60m","anchor":"' || strftime((SELECT newest FROM a), '%Y-%m-%dT%H:%M:%S.%f') || '","data":['
@@ -347,9 +347,7 @@ def cdc_dlq_reasons(v: Views):
     ),
 )
 def volume_now_json(v: Views):
-    from paytide.functions.timing import as_of
-
-    rows = aggregates.volume_now(v.live, 60).withColumn(
+    rows = aggregates.volume_now(v.raw, 60, v.as_of).withColumn(
         "total_amount", F.col("total_amount").cast("string")
     )
-    return aggregates.to_payload(rows, "60m", as_of(v.live), "type", "tx_count", "total_amount")
+    return aggregates.to_payload(rows, "60m", v.as_of, "type", "tx_count", "total_amount")

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytide.functions.timing import as_of, interval, seconds_between
+from paytide.functions.timing import aligned_cut, as_of, interval, seconds_between
 from paytide.operators import joins, quality, states, versions
 from paytide.sources import bulk, reference
 from paytide.sources.tables import read_table
@@ -183,6 +183,18 @@ class Views:
     def daily(self) -> DataFrame:
         return states.daily_states(self.final)
 
+    def _resolved_since(self, window: str, unit: str) -> DataFrame:
+        cut = aligned_cut(self.as_of, window, unit)
+        return versions.final(self.raw.filter(F.col("created_at") >= cut))
+
+    def funnel_since(self, window: str, sketch: bool = False) -> DataFrame:
+        """Funnel states of the last whole hours only: the cut is on the raw column, ahead
+        of version resolution."""
+        return states.funnel_states(self._resolved_since(window, "hour"), sketch)
+
+    def daily_since(self, window: str) -> DataFrame:
+        return states.daily_states(self._resolved_since(window, "day"))
+
     @cached_property
     def status_log(self) -> DataFrame:
         """Status changes of each transaction, one row per change."""
