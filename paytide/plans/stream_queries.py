@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
+from paytide.functions.timing import month_key
+from paytide.operators import aggregates as agg
 from paytide.operators import lifecycle, states, versions
+from paytide.plans import mirror
 from paytide.plans.oracle import sql
 from paytide.plans.registry import query
 from paytide.plans.scans import DAMAGE, change_events
@@ -12,7 +17,7 @@ from paytide.plans.views import Views, transactions, with_versions
 from paytide.session import workspace
 from paytide.sources import lake
 from paytide.sources.tables import SCHEMAS
-from paytide.streaming import ingest
+from paytide.streaming import ingest, poll
 
 
 def _events(v: Views):
@@ -39,8 +44,8 @@ def _run(v: Views, stream, process) -> ingest.Layout:
 def stream_cdc_mirror(v: Views):
     """Change events through the stream into the versioned table, read back resolved."""
     layout = _run(v, change_events(transactions(_events(v))), ingest.process_cdc)
-    mirror = versions.final(ingest.read_raw(v.spark, layout))
-    return mirror.groupBy("type", "status", "_is_deleted").agg(
+    table = versions.final(ingest.read_raw(v.spark, layout))
+    return table.groupBy("type", "status", "_is_deleted").agg(
         F.count("*").alias("n_rows"), F.sum("amount").alias("total")
     )
 
@@ -112,3 +117,45 @@ def recluster_inventory(v: Views):
 def file_inventory(v: Views):
     """Rows, files and bytes per event type of the stored table."""
     return lake.inventory(v.table("events"), "event_type")
+
+
+@query(
+    "poll_two_cycles",
+    sql(
+        "tx",
+        """SELECT type, status, count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS total FROM tx GROUP BY 1, 2""",
+    ),
+)
+def poll_two_cycles(v: Views):
+    """Two watermark cycles over a table whose rows become visible late.
+
+    The first sees what was committed by the middle of the month, the second, a full scan,
+    everything. Rows committed late lie below the first watermark; none may be missing.
+    """
+    middle, end = datetime(2024, 1, 15), datetime(2024, 3, 1)
+    layout = ingest.Layout(workspace(v.spark, "poll"))
+    visible = v.visible_at(v.tx) <= F.lit(middle)
+    poll.cycle(v.spark, v.tx.filter(visible), layout, middle, 0)
+    poll.cycle(v.spark, v.tx, layout, end, 1)
+    table = versions.final(poll.read_target(v.spark, layout))
+    return table.groupBy("type", "status").agg(
+        F.count("*").alias("n_rows"), F.sum("amount").alias("total")
+    )
+
+
+@query(
+    "stored_aggregate_refresh",
+    sql(
+        "hourly",
+        """SELECT bucket, type, status, tx_count, CAST(total_amount AS DOUBLE) AS total_amount FROM hourly""",
+    ),
+)
+def stored_aggregate_refresh(v: Views):
+    """A stored hourly aggregate that missed ten days, repaired by refreshing that range."""
+    start, end = datetime(2024, 1, 10), datetime(2024, 1, 20)
+    stored = mirror.Mirror(v.spark, workspace(v.spark, "stored"))
+    hole = v.tx.filter((F.col("created_at") < start) | (F.col("created_at") >= end))
+    partial = agg.volume_hourly(hole).withColumn("yyyymm", month_key("bucket"))
+    lake.replace_partitions(partial, f"{stored.root}/volume_hourly", "yyyymm")
+    stored.refresh_hourly(v.tx, start, end)
+    return stored.hourly.select("bucket", "type", "status", "tx_count", "total_amount")

@@ -12,6 +12,11 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _fs(spark, path)
+    return fs.exists(target)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, by: str = "yyyymm") -> None:
     """Append one batch; replaying the same batch replaces only its own files."""
     (
@@ -37,9 +42,9 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 def partitions(spark: SparkSession, path: str, key: str) -> list[str]:
     """Values of the top-level partition key, from folder names (metadata only)."""
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
+    if not exists(spark, path):
         return []
+    fs, root = _fs(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paytide.operators import joins, windows
+from paytide.sources import bulk
 
 KEYS = windows.PAYMENT_KEYS
 
@@ -118,7 +119,8 @@ def test_service_form_counts_whole_second_boundaries(make_tx):
             payment(2, T0 + timedelta(seconds=300, milliseconds=950)),
             payment(3, T0 + timedelta(seconds=601)),
         ]
-    ).withColumnRenamed("id", "tx_id")
+    )
+    tx = bulk.to_raw(tx, F.lit(T0))
     end = T0 + timedelta(hours=1)
     rows = windows.fraud_duplicates(tx, end).collect()
     # 1 -> 2 crosses 300 boundaries although 300.05 s passed; 2 -> 3 crosses 301
