@@ -44,6 +44,9 @@ BAD = [
     (event(amount="<absent>"), "invalid amount"),
     (event(created_at="yesterday"), "invalid timestamp"),
     (event(created_at="<absent>"), "invalid timestamp"),
+    (event(created_at="2024"), "invalid timestamp"),
+    (event(created_at="12:34:56.789"), "invalid timestamp"),
+    (event(created_at="2024-1-1T00:00:00Z"), "invalid timestamp"),
     (event(settled_at="2024-13-01T00:00:00Z"), "invalid timestamp"),
     (event(updated_at="noon"), "invalid updated_at"),
     (event(updated_at=None, source={"other": 1}), "no version"),
