@@ -7,25 +7,62 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Log-linear bins: 2**BITS bins per power of two. A group has at most about
-# 2 * 52 * 2**BITS bins, and a bin around value v at most v / 2**BITS distinct values.
-BITS = 11
+from paytide.session import stored
 
+# Log-linear bins: 2**bits bins per power of two, so finer bins nest in coarser ones.
+# A group has at most about 100 * 2**COARSE coarse bins, a coarse bin at most
+# 2**(FINE - COARSE) fine ones, and a fine bin around value v at most v / 2**FINE values.
+COARSE, FINE = 5, 17
 
-def _magnitude_bin(v: Column) -> Column:
+
+def _magnitude_bin(v: Column, bits: int) -> Column:
     top = F.floor(F.log2(F.greatest(v, F.lit(1)).cast("double"))).cast("int")
-    shift = F.greatest(top - F.lit(BITS), F.lit(0))
+    shift = F.greatest(top - F.lit(bits), F.lit(0))
     # floor(v / 2**shift) is exact: the divisor is a power of two and v < 2**53
-    return (shift.cast("long") * (1 << BITS) + F.floor(v / F.pow(F.lit(2.0), shift))).cast("long")
+    return (shift.cast("long") * (1 << bits) + F.floor(v / F.pow(F.lit(2.0), shift))).cast("long")
 
 
-def value_bin(v: Column) -> Column:
+def value_bin(v: Column, bits: int = COARSE) -> Column:
     """A bin number that never decreases as ``v`` (an integer) grows."""
-    return F.when(v < 0, -_magnitude_bin(-v)).otherwise(_magnitude_bin(v))
+    return F.when(v < 0, -_magnitude_bin(-v, bits)).otherwise(_magnitude_bin(v, bits))
+
 
+def _rank(p: float, side) -> Column:
+    return side(F.lit(p) * (F.col("_n") - 1)).cast("long")
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
+
+def _holding(bins: DataFrame, within: list[str], at: str, probs: dict[str, float]) -> DataFrame:
+    """Bins (``at``, with row counts ``_c``) that hold a wanted rank, and their first rank.
+
+    Counting starts at ``_start``, the first rank of the surrounding bin.
+    """
+    ordered = Window.partitionBy(*within).orderBy(at)
+    placed = bins.withColumn("_end", F.col("_start") + F.sum("_c").over(ordered)).withColumn(
+        "_start", F.col("_end") - F.col("_c")
+    )
+    wanted = reduce(
+        lambda a, b: a | b,
+        [
+            (F.col("_start") <= _rank(p, side)) & (_rank(p, side) < F.col("_end"))
+            for p in probs.values()
+            for side in (F.floor, F.ceil)
+        ],
+    )
+    return placed.filter(wanted)
+
+
+def _in_bins(rows: DataFrame, targets: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Rows of the target bins, with each bin's ``_n`` and ``_start``. Keys may be null.
+
+    The bin is matched null-safely as well, although it never is null: a plain equality
+    would add a not-null filter that computes every bin a second time.
+    """
+    t = targets.select(
+        *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], F.col(at).alias("_tbin"), "_n", "_start"
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
+    joined = rows.join(t, reduce(lambda a, b: a & b, same, F.col(at).eqNullSafe(F.col("_tbin"))))
+    return joined.drop(*[f"_t{i}" for i in range(len(keys))], "_tbin")
 
 
 def exact_percentiles(
@@ -33,48 +70,44 @@ def exact_percentiles(
 ) -> DataFrame:
     """``percentile_cont`` of the integer column ``value`` for each group of ``keys``.
 
-    Two passes. The first counts values per log-linear bin, combined before the
-    shuffle, and finds the bins that hold the wanted ranks. The second reads the rows of
-    those bins only, counts them by distinct value and walks the counts. A group with a
-    third of all rows therefore costs a bounded histogram plus a few narrow bins.
+    The first pass counts rows per coarse bin, combined before the shuffle, and finds the
+    bins holding the wanted ranks. The second pass reads the rows of those bins only and
+    counts them by distinct value; fine bins then narrow each search to a few values,
+    which are walked in order. So a group with a third of all rows costs a short histogram
+    and two narrow slices, and no window is longer than the bounds above.
+
+    Both passes run when this is called and store what they found, a few rows per group.
+    The second join then knows the true size of its target bins: Spark broadcasts them if
+    they are small, so the table is read twice but only its wanted slices are shuffled.
     """
     cells = df.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("long").alias("_v"), value_bin(F.col(value)).alias("_bin")
     )
-    group = Window.partitionBy(*keys)
     histogram = (
         cells.groupBy(*keys, "_bin")
         .agg(F.count("*").alias("_c"))
-        .withColumn("_n", F.sum("_c").over(group))
-        .withColumn("_end", F.sum("_c").over(group.orderBy("_bin")))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-    )
-
-    def rank(p: float, side) -> Column:
-        return side(F.lit(p) * (F.col("_n") - 1)).cast("long")
-
-    wanted = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col("_start") <= rank(p, side)) & (rank(p, side) < F.col("_end"))
-            for p in probs.values()
-            for side in (F.floor, F.ceil)
-        ],
-    )
-    targets = histogram.filter(wanted).select(
-        *[F.col(k).alias(f"_{k}") for k in keys], F.col("_bin").alias("_tbin"), "_n", "_start"
+        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+        .withColumn("_start", F.lit(0).cast("long"))
     )
-    near = cells.join(targets, _same(cells, targets, keys) & (cells["_bin"] == targets["_tbin"]))
-    inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    walked = (
-        near.groupBy(*keys, "_bin", "_v", "_n", "_start")
+    wanted = _holding(histogram, keys, "_bin", probs)
+    coarse = stored(wanted.select(*keys, "_bin", "_n", "_start"), "bins")
+    values = stored(
+        _in_bins(cells, coarse, keys, "_bin")
+        .groupBy(*keys, "_bin", "_n", "_start", "_v")
         .agg(F.count("*").alias("_c"))
-        .withColumn("_hi", F.col("_start") + F.sum("_c").over(inside))
-        .withColumn("_lo", F.col("_hi") - F.col("_c"))
+        .withColumn("_fine", value_bin(F.col("_v"), FINE)),
+        "slices",
     )
+    slices = values.groupBy(*keys, "_bin", "_n", "_start", "_fine").agg(F.sum("_c").alias("_c"))
+    fine = _holding(slices, [*keys, "_bin"], "_fine", probs)
+    near = _in_bins(values.drop("_n", "_start"), fine, keys, "_fine")
+    walked = near.withColumn(
+        "_hi",
+        F.col("_start") + F.sum("_c").over(Window.partitionBy(*keys, "_fine").orderBy("_v")),
+    ).withColumn("_lo", F.col("_hi") - F.col("_c"))
 
     def at_rank(p: float, side) -> Column:
-        r = rank(p, side)
+        r = _rank(p, side)
         return F.max(F.when((F.col("_lo") <= r) & (r < F.col("_hi")), F.col("_v")))
 
     picked = walked.groupBy(*keys).agg(

@@ -5,26 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytide.session import ensure_checkpoint_dir
+from paytide.session import stored
 
 
 def with_position(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
     """Add the 0-based rank of each row under ``order`` (which must be unique).
 
     Rows are range-partitioned on the whole order key, so a hot leading value is
-    split too. The ranged rows are checkpointed because range boundaries are sampled
-    and must be the same for the rows and for the partition counts.
+    split too. The ranged rows are stored because range boundaries are sampled and must
+    be the same for the rows and for the partition counts.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    numbered = (
+    numbered = stored(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_mid", 33))
         .withColumn("_row", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_mid")
-        .checkpoint()
+        .drop("_mid"),
+        "ranked",
     )
     # one row per partition, whatever the data size
     per_part = numbered.groupBy("_part").agg(F.count("*").alias("_n"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytide.functions.timing import interval
-from paytide.session import ensure_checkpoint_dir
+from paytide.session import stored
 from paytide.sources import bulk, increment, lake
 from paytide.sources.tables import RAW_SCHEMA
 from paytide.streaming.ingest import Layout, update_states, write_raw
@@ -75,17 +75,17 @@ def cycle(
 ) -> dict:
     """Scan, write versions and states, then advance the watermark; in that order.
 
-    The rows are checkpointed once, so what is written, counted and marked is the same set
+    The rows are stored once, so what is written, counted and marked is the same set
     although the source keeps changing. If anything fails before the last step, the next
     cycle starts from the old watermark and its rewrite is harmless.
     """
-    ensure_checkpoint_dir(spark)
     marks = state_path(layout)
     state = increment.read_state(spark, marks, name) if lake.exists(spark, marks) else None
     full = increment.full_scan_due(state and state["last_full_scan_at"], now, full_scan_hours)
-    rows = scan(
+    found = scan(
         source, read_target(spark, layout), state, full, batch, overlap_seconds, full_scan_hours
-    ).checkpoint()
+    )
+    rows = stored(found, "cycle")
     raw = bulk.to_raw(rows, F.lit(now))
     write_raw(raw, batch_id, layout)
     update_states(raw, batch_id, layout)

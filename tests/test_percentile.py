@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from paytide.functions.percentile import exact_percentiles, value_bin
+from paytide.functions.percentile import COARSE, FINE, exact_percentiles, value_bin
 
 PROBS = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
@@ -39,8 +39,12 @@ def test_one_group_holds_most_rows_and_most_of_it_one_value(spark):
 def test_bins_never_decrease(spark):
     edges = sorted({s * (2**e + d) for e in range(0, 52) for d in (-1, 0, 1) for s in (-1, 1)})
     df = spark.createDataFrame([(e,) for e in edges], "v BIGINT")
-    bins = [r.b for r in df.select("v", value_bin(F.col("v")).alias("b")).orderBy("v").collect()]
-    assert bins == sorted(bins)
+    both = df.select("v", value_bin(F.col("v"), COARSE).alias("c"), value_bin(F.col("v"), FINE).alias("f"))
+    rows = both.orderBy("v").collect()
+    coarse, fine = [r.c for r in rows], [r.f for r in rows]
+    assert coarse == sorted(coarse) and fine == sorted(fine)
+    # each fine bin lies in one coarse bin
+    assert len({(r.c, r.f) for r in rows}) == len({r.f for r in rows})
 
 
 def test_null_keys_and_null_values(spark):
