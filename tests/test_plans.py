@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from paytide.operators import aggregates as agg
 from paytide.operators import joins, versions
 from paytide.plans.views import Views
+from paytide.sources import bulk
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -21,7 +22,7 @@ def v(spark):
 def test_day_partitions_are_pruned_and_bounds_reach_the_scan(spark, make_tx, tmp_path):
     path = str(tmp_path / "t")
     tx = make_tx([payment(i, T0 - timedelta(hours=7 * i)) for i in range(40)])
-    raw = tx.withColumn("settlement_seconds", F.lit(1.0)).withColumn("day", F.to_date("created_at"))
+    raw = bulk.to_raw(tx).withColumn("day", F.to_date("created_at"))
     raw.write.partitionBy("day").parquet(path)
     table = spark.read.parquet(path)
     day = T0.replace(hour=0) - timedelta(days=3)
@@ -30,7 +31,9 @@ def test_day_partitions_are_pruned_and_bounds_reach_the_scan(spark, make_tx, tmp
     )
     text = plan(df)
     assert "PartitionFilters: [isnotnull(day" in text and "GreaterThanOrEqual(created_at" in text
-    assert "ReadSchema: struct<amount:decimal(18,2),type:string" in text
+    assert "EqualTo(type,pix)" in text and "EqualTo(source_institution,001)" in text
+    # all of it below the resolution of versions, and without the columns nobody asked for
+    assert "metadata" not in text.split("== Physical Plan ==")[1]
 
 
 def test_only_needed_columns_are_read(v):

@@ -27,7 +27,7 @@ def firing(samples, minute):
 
 
 SAW = [60, 120, 180, 240, 300, 0, 60, 120, 180, 240, 300, 0, 60, 120, 180, 240]
-UP = {"job": "sync-worker", "instance": "sync-worker:8001"}
+UP = {"job": "worker", "instance": "worker:1"}
 CASES = [
     ("stalled needs both", [("sync_last_success_timestamp", {}, [0] * 21), ("sync_lag_seconds", {}, [120] * 21)], 10, {"PipelineStalled", "LagGrowing"}),
     ("idle is not stalled", [("sync_last_success_timestamp", {}, [0] * 21), ("sync_lag_seconds", {}, [0] * 21)], 10, set()),
@@ -50,7 +50,7 @@ def test_rules(spark, specs, minute, expected):
 
 @pytest.mark.parametrize("step,fires", [(1, True), (0, False)])
 def test_errors_in_the_range(spark, step, fires):
-    errors = series(spark, ("sync_errors_total", {"type": "clickhouse"}, [step * i for i in range(21)]))
+    errors = series(spark, ("sync_errors_total", {"type": "sink"}, [step * i for i in range(21)]))
     grown = t.counter_increase(errors, 900)
     at16 = grown.filter("now = 960").head()
     assert at16.increase == 15.0 * step
@@ -62,7 +62,7 @@ def test_errors_in_the_range(spark, step, fires):
     )
     rows = firing(as_samples, 16)
     assert [(r.alert, r.series) for r in rows] == (
-        [("PipelineErrors", '{"type":"clickhouse"}')] if fires else []
+        [("PipelineErrors", '{"type":"sink"}')] if fires else []
     )
 
 
