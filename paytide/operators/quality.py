@@ -48,6 +48,17 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def pii_columns(
     spark: SparkSession, tables: dict[str, DataFrame], deny: tuple[str, ...] = PERSONAL_COLUMNS
 ) -> DataFrame:
-    """Columns of the given tables whose names mark personal data (a schema check, no scan)."""
-    hits = [(t, c) for t, df in tables.items() for c in df.columns if c.lower() in deny]
-    return spark.createDataFrame(hits, "table_name STRING, column_name STRING")
+    """Columns whose names mark personal data, and how many values each holds.
+
+    The schemas decide which tables are read at all: one with no such column costs nothing.
+    """
+    out = spark.createDataFrame([], "table_name STRING, column_name STRING, n_values BIGINT")
+    for name, df in tables.items():
+        hits = [c for c in df.columns if c.lower() in deny]
+        if hits:
+            counted = df.agg(*[F.count(c).alias(c) for c in hits])
+            rows = counted.unpivot([], hits, "column_name", "n_values")
+            out = out.unionByName(
+                rows.select(F.lit(name).alias("table_name"), "column_name", "n_values")
+            )
+    return out

@@ -163,7 +163,16 @@ def dq_field_presence(v: Views):
     )
 
 
-@query("pii_column_scan")
+@query(
+    "pii_column_scan",
+    sql(
+        "accounts",
+        """c AS (SELECT count(account_number) AS account_number, count(holder_document) AS holder_document,
+             count(holder_name) AS holder_name FROM accounts)
+        SELECT 'accounts' AS table_name, column_name, n_values
+        FROM (UNPIVOT c ON COLUMNS(*) INTO NAME column_name VALUE n_values)""",
+    ),
+)
 def pii_column_scan(v: Views):
     tables = {"tx": v.tx, "raw": v.raw, "funnel": v.funnel, "accounts": v.accounts}
     return quality.pii_columns(v.spark, tables)
