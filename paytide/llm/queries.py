@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytide.llm import mixing, sharding
+from paytide.llm import jaccard, mixing, sharding
 from paytide.llm.common import table
 
 
@@ -18,7 +18,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_sharding, op5_mixing)
+    f.__name__: f for f in (op4_sharding, op5_mixing, op8_jaccard)
 }
 ORACLE: dict[str, str] = {}
