@@ -14,7 +14,7 @@ WORD = f"[^{SPACE}]+"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read through Spark; batches to Python are kept small, for long texts."""
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

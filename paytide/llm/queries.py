@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytide.llm import jaccard, mixing, sharding
+from paytide.llm import jaccard, lm, mixing, sharding
 from paytide.llm.common import table
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -23,6 +27,6 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_sharding, op5_mixing, op8_jaccard)
+    f.__name__: f for f in (op2_suffix_tree, op4_sharding, op5_mixing, op8_jaccard)
 }
 ORACLE: dict[str, str] = {}
