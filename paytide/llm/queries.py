@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytide.llm import jaccard, lm, mixing, sharding, topk
+from paytide.llm import jaccard, langid, lm, mixing, sharding, topk
 from paytide.llm.common import table
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_tree, op4_sharding, op5_mixing, op8_jaccard, op10_topk)
+    f.__name__: f for f in (op1_langid, op2_suffix_tree, op4_sharding, op5_mixing, op8_jaccard, op10_topk)
 }
 ORACLE: dict[str, str] = {
     "op10_topk": """
