@@ -36,9 +36,9 @@ def _byte_table() -> np.ndarray:
     return table
 
 
-_BYTES = _byte_table()
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[32, 9, 10, 11, 12, 13]] = True
+BYTES = _byte_table()
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[32, 9, 10, 11, 12, 13]] = True
 
 
 def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -66,7 +66,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Hash and row of every word, in order."""
     if not len(data):
         return np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64)
-    inside = ~_BLANK[data]
+    inside = ~BLANK[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < len(data)]
@@ -77,7 +77,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     at = np.flatnonzero(inside)
     ordinal = np.cumsum(begins[at]) - 1
     place = at - first[ordinal]
-    values = _BYTES[data[at]] * powers(0xD1342543DE82EF95, int(place.max()) + 1)[place]
+    values = BYTES[data[at]] * powers(0xD1342543DE82EF95, int(place.max()) + 1)[place]
     runs = np.flatnonzero(begins[at])
     length = np.diff(np.append(runs, len(at))).astype(U)
     hashes = mixed(np.add.reduceat(values, runs) + length * U(_C))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytide.llm import jaccard, langid, lm, mixing, sharding, topk
+from paytide.llm import jaccard, langid, lm, mixing, sharding, topk, toxicity
 from paytide.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_langid, op2_suffix_tree, op4_sharding, op5_mixing, op8_jaccard, op10_topk)
+    f.__name__: f for f in (op1_langid, op2_suffix_tree, op4_sharding, op5_mixing, op7_toxicity, op8_jaccard, op10_topk)
 }
 ORACLE: dict[str, str] = {
     "op10_topk": """
