@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytide.llm import jaccard, langid, lm, mixing, sharding, topk, toxicity
+from paytide.llm import decontam, jaccard, langid, lm, mixing, sharding, topk, toxicity
 from paytide.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_langid, op2_suffix_tree, op4_sharding, op5_mixing, op7_toxicity, op8_jaccard, op10_topk)
+    f.__name__: f for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op7_toxicity, op8_jaccard, op10_topk)
 }
 ORACLE: dict[str, str] = {
     "op10_topk": """
