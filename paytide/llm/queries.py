@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytide.llm import decontam, jaccard, langid, lm, mixing, sharding, topk, toxicity
+from paytide.llm import decontam, jaccard, langid, lm, mixing, pii, sharding, topk, toxicity
 from paytide.llm.common import table
 
 
@@ -38,12 +38,16 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op7_toxicity, op8_jaccard, op10_topk)
+    f.__name__: f for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op7_toxicity, op8_jaccard, op9_pii, op10_topk)
 }
 ORACLE: dict[str, str] = {
     "op10_topk": """
