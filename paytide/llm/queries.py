@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paytide.llm import decontam, jaccard, langid, lm, mixing, pii, sharding, topk, toxicity
+import corpus_pipeline
+from paytide.llm import chat, decontam, jaccard, langid, lm, mixing, pii, sharding, topk, toxicity
 from paytide.llm.common import table
 
 
@@ -30,6 +31,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat.preferences(turns, chat.neighbouring_pairs(turns))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,10 +52,45 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op7_toxicity, op8_jaccard, op9_pii, op10_topk)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run} | {
+    f.__name__: f
+    for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op6_preferences, op7_toxicity, op8_jaccard, op9_pii, op10_topk)
 }
 ORACLE: dict[str, str] = {
+    "op6_preferences": """
+WITH t AS (
+  SELECT *, conv_id // 2 AS pair_id, conv_id % 2 AS side,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), m AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.i, b.i) AS i,
+         a.conv_id IS NOT NULL AND b.conv_id IS NOT NULL
+           AND a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text AS same
+  FROM (SELECT * FROM t WHERE side = 0) a FULL JOIN (SELECT * FROM t WHERE side = 1) b
+    ON a.pair_id = b.pair_id AND a.i = b.i
+), p AS (
+  SELECT pair_id, CAST(coalesce(min(i) FILTER (NOT same), max(i) + 1) AS INT) AS prefix_turns FROM m GROUP BY 1
+), w AS (
+  SELECT t.pair_id, side, conv_id, i, prefix_turns, role,
+         '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS piece,
+         length(coalesce(role, '')) + 5 AS head
+  FROM t JOIN p USING (pair_id)
+), o AS (
+  SELECT *, CAST(coalesce(sum(length(piece)) OVER (PARTITION BY pair_id, side, i >= prefix_turns ORDER BY i
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place FROM w
+), s AS (
+  SELECT pair_id, side, max(conv_id) AS conv_id, max(prefix_turns) AS prefix_turns,
+         coalesce(string_agg(piece, '' ORDER BY i) FILTER (i < prefix_turns), '') AS prompt,
+         coalesce(string_agg(piece, '' ORDER BY i) FILTER (i >= prefix_turns), '') AS completion,
+         coalesce(string_agg((place + head) || '-' || (place + length(piece)), ',' ORDER BY i)
+           FILTER (i >= prefix_turns AND role = 'assistant'), '') AS mask
+  FROM o GROUP BY 1, 2
+)
+SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, c.conv_id AS chosen, r.conv_id AS rejected,
+       coalesce(c.prefix_turns, r.prefix_turns) AS prefix_turns, coalesce(c.prompt, '') AS prompt,
+       c.completion AS chosen_completion, r.completion AS rejected_completion, c.mask AS chosen_mask, r.mask AS rejected_mask
+FROM (SELECT * FROM s WHERE side = 0) c FULL JOIN (SELECT * FROM s WHERE side = 1) r ON c.pair_id = r.pair_id
+""",
     "op10_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
