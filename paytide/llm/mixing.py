@@ -117,6 +117,8 @@ def mix(
     nothing, an empty table gives an empty result, equal rows are each laid out. No row
     takes more than ``repeat`` times its size. The only numbers on the driver are totals.
     """
+    columns = rows.columns
+    rows = stored(rows, "sizes")  # counting words is the costly part, and rows are read three times
     sizes = rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     sizes = stored(sizes.withColumn("_null", F.col("source").isNull()), "sources")
     ranked = with_position(sizes, ["_null", "source"], "_rank").drop("_null")
@@ -153,7 +155,7 @@ def mix(
     blocks = f"sequence(_at div {block}, (_at + size - 1) div {block})"
     partly = f"aggregate({blocks}, 0L, (sum, b) -> sum + CASE WHEN {chosen} THEN {words} ELSE 0L END)"
     taken = f"CASE WHEN size <= 0 THEN 0L WHEN _rest = 0 THEN _full * size ELSE _full * size + {partly} END"
-    return joined.select(*[f"`{c}`" for c in rows.columns], "source_size", "target", F.expr(taken).alias("taken"))
+    return joined.select(*[f"`{c}`" for c in columns], "source_size", "target", F.expr(taken).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
