@@ -256,29 +256,24 @@ def expand_configs(institutions: DataFrame, at: Instant, revisions: int = 8) ->
     )
 
 
-def partitions_with_key(
-    parts: DataFrame, tx: DataFrame, key: Column, width_days: int = 1
-) -> DataFrame:
+def partitions_with_key(parts: DataFrame, tx: DataFrame, key: Column) -> DataFrame:
     """Partitions ``[range_start, range_end)`` holding at least one row matched by ``key``.
 
-    Matching rows are cut to distinct days first, then matched to partitions by the first
-    day of the partition's span plus the exact range.
+    Partitions may have any width and alignment. Each is spread over the days it covers, and
+    meets the distinct times of the matching rows day by day, so no partition is compared with
+    rows outside its days. An empty range holds nothing.
     """
-    epoch = F.to_date(F.lit("1970-01-01"))
-
-    def span(day: Column) -> Column:
-        return F.floor(F.date_diff(day, epoch) / F.lit(width_days))
-
-    days = tx.filter(key).groupBy(F.to_date("created_at").alias("day")).agg(
-        F.min("created_at").alias("first"), F.max("created_at").alias("until")
-    ).withColumn("_span", span(F.col("day")))
-    p = parts.withColumn("_span", span(F.to_date("range_start")))
-    hit = (
-        (p["_span"] == days["_span"])
-        & (days["until"] >= p["range_start"])
-        & (days["first"] < p["range_end"])
+    last = F.col("range_end") - F.expr("INTERVAL 1 MICROSECOND")
+    days = F.explode(F.sequence(F.to_date("range_start"), F.to_date(last)))
+    spread = parts.filter(F.col("range_start") < F.col("range_end")).select("range_start", "range_end", days.alias("_day"))
+    times = tx.filter(key).select(F.to_date("created_at").alias("_at_day"), F.col("created_at").alias("_at")).distinct()
+    inside = (
+        (spread["_day"] == times["_at_day"])
+        & (times["_at"] >= spread["range_start"])
+        & (times["_at"] < spread["range_end"])
     )
-    return p.join(days, hit, "left_semi").drop("_span")
+    touched = spread.join(times, inside, "left_semi").select("range_start", "range_end").distinct()
+    return parts.join(touched, ["range_start", "range_end"], "left_semi")
 
 
 def diff_aggregates(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
