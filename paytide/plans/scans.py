@@ -267,7 +267,7 @@ DAMAGE = """CASE k WHEN 10 THEN 'invalid JSON' WHEN 11 THEN 'envelope is not an
   WHEN 12 THEN 'payload missing or not an object' WHEN 13 THEN 'op missing'
   WHEN 14 THEN 'row image missing' WHEN 15 THEN 'invalid amount' WHEN 16 THEN 'invalid timestamp'
   WHEN 17 THEN 'invalid updated_at' WHEN 18 THEN 'no version' WHEN 19 THEN 'invalid id'
-  WHEN 20 THEN 'missing field' END"""
+  WHEN 20 THEN 'missing field' WHEN 24 THEN 'invalid account id' END"""
 
 
 def change_events(tx):
@@ -294,6 +294,7 @@ def change_events(tx):
         .when(k == 21, swap(r'"updated_at":"[^"]*",', ""))
         .when(k == 22, swap(r'"(source|destination)_account_id":\d+,', ""))
         .when(k == 23, swap(r'"currency":"BRL",', ""))
+        .when(k == 24, swap(r'"source_account_id":(\d+)', r'"source_account_id":"a$1"'))
         .otherwise(value)
     )
     return wrapped.select(damaged.alias("value"))

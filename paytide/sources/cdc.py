@@ -20,19 +20,24 @@ REASONS = (
     "no version",
     "invalid id",
     "missing field",
+    "invalid account id",
 )
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, per_trigger: int = 5000) -> DataFrame:
-    """Change topic from the earliest offset; offsets live in the query's checkpoint."""
-    return (
+
+def kafka_source(spark: SparkSession, servers: str, topic: str, per_trigger: int | None = None) -> DataFrame:
+    """Change topic from the earliest offset; offsets live in the query's checkpoint.
+
+    A trigger takes all there is unless ``per_trigger`` bounds it.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", per_trigger)
-        .load()
-        .select("value")
     )
+    if per_trigger is not None:
+        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
+    return reader.load().select("value")
 
 
 def file_source(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -116,6 +121,10 @@ def parse_cdc(events: DataFrame, ingested_at: Column | None = None) -> DataFrame
     def account(name: str) -> Column:
         return F.coalesce(field(name).try_cast("bigint"), F.lit(0).cast("bigint")).alias(name)
 
+    def unreadable(name: str) -> Column:
+        """No account is account 0, but an account that cannot be read is an error."""
+        return field(name).isNotNull() & field(name).try_cast("bigint").isNull()
+
     has_update = F.coalesce(field("updated_at"), F.lit("")) != ""
     fields = opened.select(
         "_text",
@@ -152,6 +161,7 @@ def parse_cdc(events: DataFrame, ingested_at: Column | None = None) -> DataFrame
         | F.col("status").isNull()
         | F.col("source_institution").isNull()
         | F.col("destination_institution").isNull(),
+        unreadable("source_account_id") | unreadable("destination_account_id"),
     )
     reason = F.coalesce(
         F.col("_e.problem"),
