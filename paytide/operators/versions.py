@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from paytide.session import workspace
 from paytide.sources import lake
-from paytide.sources.tables import RAW_SCHEMA
+from paytide.sources.tables import RAW_SCHEMA, STORED_SCHEMA
 
+# Writer name of merged batches.
+COMPACTED = "compacted"
 # Status is mutable and stays out of the key: a status change must replace, not add.
 KEY = ("type", "source_institution", "hour", "external_id")
 
@@ -77,22 +79,29 @@ def purge_old_versions(raw: DataFrame, touched: Column) -> DataFrame:
 def compact(spark: SparkSession, path: str, months: list[int]) -> None:
     """Rewrite the months to one version per key.
 
-    Only the batches present now are merged, so a stream may keep appending: its batch ids
-    are positive and grow, and a compacted batch takes a negative id of its own. Rows go
+    Only the batches present now are merged, so other jobs may keep appending: the merged rows
+    become the batch of a writer of its own, which is numbered one higher each time. Rows go
     through a staging folder because a partition cannot be overwritten while it is read.
     The compacted batch is written before the old ones go; in between, and after a crash
     there, readers see extra versions, which ``final`` resolves.
     """
-    table = spark.read.schema(f"{RAW_SCHEMA}, batch_id BIGINT").parquet(path)
+    table = spark.read.schema(STORED_SCHEMA).parquet(path)
     for month in months:
         folder = f"{path}/yyyymm={month}"
-        present = [int(b) for b in lake.partitions(spark, folder, "batch_id")]
+        present = [
+            (writer, int(batch))
+            for writer in lake.partitions(spark, folder, "writer")
+            for batch in lake.partitions(spark, f"{folder}/writer={writer}", "batch_id")
+        ]
         if not present:
             continue
-        chosen = table.filter((F.col("yyyymm") == month) & (F.col("batch_id") <= max(present)))
+        batches = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(b).cast("long").alias("b")) for w, b in present])
+        chosen = table.filter(F.col("yyyymm") == month)
+        chosen = chosen.filter(F.array_contains(batches, F.struct(F.col("writer").alias("w"), F.col("batch_id").alias("b"))))
         staging = workspace(spark, "compact")
-        final(chosen).drop("batch_id").write.parquet(staging)
-        merged_id = -1 - max(abs(b) for b in present)
-        lake.write_batch(spark.read.schema(RAW_SCHEMA).parquet(staging), path, merged_id)
-        for batch in present:
-            lake.drop_partition(spark, folder, f"batch_id={batch}")
+        final(chosen).drop("writer", "batch_id").write.parquet(staging)
+        merged = 1 + max((b for w, b in present if w == COMPACTED), default=-1)
+        lake.write_batch(spark.read.schema(RAW_SCHEMA).parquet(staging), path, merged, writer=COMPACTED)
+        for writer, batch in present:
+            lake.drop_partition(spark, folder, f"writer={writer}/batch_id={batch}")
+        lake.drop_partition(spark, staging, "")

@@ -75,7 +75,8 @@ class Mirror:
     def refresh_hourly(self, tx: DataFrame, start: Instant, end: Instant) -> None:
         """Recompute the whole buckets of a range in the stored hourly partials.
 
-        The months touched are rewritten through a staging folder; other months stay.
+        The months touched are rewritten through a staging folder; one that has no rows left
+        goes. Other months stay.
         """
         first, until = refresh.whole_buckets(start, end, "hour")
         months = (F.col("yyyymm") >= month_key(first)) & (F.col("yyyymm") <= month_key(until))
@@ -85,6 +86,5 @@ class Mirror:
         ).withColumn("yyyymm", month_key("bucket"))
         staging = f"{self.root}/_staging_hourly"
         merged.write.mode("overwrite").parquet(staging)
-        lake.replace_partitions(
-            self.spark.read.parquet(staging), f"{self.root}/volume_hourly", "yyyymm"
-        )
+        touched = [r[0] for r in kept.select("yyyymm").distinct().collect()]
+        lake.replace_range(self.spark.read.schema(merged.schema).parquet(staging), f"{self.root}/volume_hourly", "yyyymm", touched)

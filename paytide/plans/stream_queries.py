@@ -15,7 +15,7 @@ from paytide.plans.registry import query
 from paytide.plans.scans import DAMAGE, change_events
 from paytide.plans.views import Views, transactions, with_versions
 from paytide.session import workspace
-from paytide.sources import lake
+from paytide.sources import bulk, lake
 from paytide.sources.tables import SCHEMAS
 from paytide.streaming import ingest, poll
 
@@ -143,6 +143,62 @@ def poll_two_cycles(v: Views):
     )
 
 
+BY_STATUS = """SELECT type, status, count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS total FROM tx GROUP BY ALL"""
+
+
+def _by_status(v: Views, layout: ingest.Layout):
+    return versions.final(ingest.read_raw(v.spark, layout)).groupBy("type", "status").agg(
+        F.count("*").alias("n_rows"), F.sum("amount").alias("total")
+    )
+
+
+@query("poll_capped_full_scan", sql("tx", BY_STATUS))
+def poll_capped_full_scan(v: Views):
+    """A poll that was down for two weeks drains its backlog, old late rows included, in capped cycles."""
+    middle, end = datetime(2024, 1, 15), datetime(2024, 3, 1)
+    layout = ingest.Layout(workspace(v.spark, "poll"))
+    poll.cycle(v.spark, v.tx.filter(v.visible_at(v.tx) <= F.lit(middle)), layout, middle)
+    poll.drain(v.spark, v.tx, layout, end, batch=max(1, v.tx.count() // 3))
+    return _by_status(v, layout)
+
+
+@query("two_writers_one_table", sql("tx", BY_STATUS))
+def two_writers_one_table(v: Views):
+    """Two jobs that both number their batches from 0 keep each other's rows."""
+    layout = ingest.Layout(workspace(v.spark, "writers"))
+    raw = with_versions(v.tx)
+    for i, writer in enumerate(("one", "two")):
+        own = ingest.Layout(layout.root, writer)
+        ingest.process_rows(own)(raw.filter(F.col("tx_id") % 2 == i), 0)
+    return _by_status(v, layout)
+
+
+@query("load_then_stream", sql("tx", BY_STATUS))
+def load_then_stream(v: Views):
+    """A bulk load before and after a stream's batch, in one table."""
+    layout = ingest.Layout(workspace(v.spark, "load"))
+    months = bulk.month_slices(datetime(2024, 1, 1).date(), datetime(2024, 3, 1).date())
+    half = v.tx.filter(F.col("id") % 2 == 0)
+    ingest.load(half, layout, months)
+    ingest.process_rows(layout)(with_versions(v.tx.filter(F.col("id") % 2 == 1)), 0)
+    ingest.load(half, layout, months)
+    return _by_status(v, layout)
+
+
+@query(
+    "refresh_emptied_month",
+    sql("hourly", "SELECT bucket, type, status, tx_count, CAST(total_amount AS DOUBLE) AS total_amount FROM hourly"),
+)
+def refresh_emptied_month(v: Views):
+    """A month of wrong buckets goes when its range is refreshed from rows that have none."""
+    stored = mirror.Mirror(v.spark, workspace(v.spark, "emptied"))
+    wrong = v.tx.withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 60 DAYS"))
+    both = agg.volume_hourly(v.tx.unionByName(wrong)).withColumn("yyyymm", month_key("bucket"))
+    lake.replace_partitions(both, f"{stored.root}/volume_hourly", "yyyymm")
+    stored.refresh_hourly(v.tx, datetime(2024, 2, 20), datetime(2024, 5, 1))
+    return stored.hourly.select("bucket", "type", "status", "tx_count", "total_amount")
+
+
 @query(
     "stored_aggregate_refresh",
     sql(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytide.functions.timing import month_key
+from paytide.sources import lake
 
 
 def month_slices(first: date, until: date) -> list[tuple[date, date]]:
@@ -20,10 +21,19 @@ def month_slices(first: date, until: date) -> list[tuple[date, date]]:
     return slices
 
 
+def day_slices(first: date, until: date) -> list[tuple[date, date]]:
+    """Half-open day slices covering ``[first, until)``."""
+    days = (until - first).days
+    return [(first + timedelta(days=i), first + timedelta(days=i + 1)) for i in range(days)]
+
+
 def read_jdbc_slices(
     spark: SparkSession, url: str, table: str, slices: list[tuple[date, date]], properties: dict
 ) -> DataFrame:
-    """One JDBC partition per slice, so no slice is read twice and each task is retryable."""
+    """One JDBC partition per slice, so no slice is read twice and each task is retryable.
+
+    Give ``day_slices`` where a month is more than one task should read.
+    """
     predicates = [f"created_at >= '{a}' AND created_at < '{b}'" for a, b in slices]
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
 
@@ -60,15 +70,24 @@ def to_raw(
     )
 
 
-def bulk_load(tx: DataFrame, path: str, slices: list[tuple[date, date]]) -> None:
-    """Load the slices; a rerun replaces exactly the months it loads."""
+def bulk_load(
+    tx: DataFrame, path: str, slices: list[tuple[date, date]], writer: str = "load"
+) -> list[DataFrame]:
+    """Load the slices into the table that streams and polls write, as batches of ``writer``.
+
+    A month is one batch, numbered by itself. A rerun replaces exactly what this writer had in
+    the months it loads, months that are now empty included; other writers' rows stay. Returns
+    the loaded frame of each slice, in versioned form.
+    """
+    loaded = []
     for start, end in slices:
+        month = start.year * 100 + start.month
         part = tx.filter((F.col("created_at") >= F.lit(start)) & (F.col("created_at") < F.lit(end)))
-        (
-            to_raw(part)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy("yyyymm")
-            .parquet(path)
-        )
+        raw = to_raw(part)
+        folder = f"{path}/yyyymm={month}/writer={writer}"
+        if raw.limit(1).count():
+            lake.write_batch(raw, path, month, writer=writer)
+        elif lake.exists(tx.sparkSession, folder):
+            lake.drop_partition(tx.sparkSession, path, f"yyyymm={month}/writer={writer}")
+        loaded.append(raw)
+    return loaded

@@ -11,7 +11,7 @@ from paytide.functions.timing import Instant, instant, interval, micros_between
 
 STATE_SCHEMA = (
     "source STRING, last_updated_at TIMESTAMP, last_id BIGINT, last_run_at TIMESTAMP, "
-    "rows_synced BIGINT, last_full_scan_at TIMESTAMP"
+    "rows_synced BIGINT, last_full_scan_at TIMESTAMP, cycles BIGINT"
 )
 
 
@@ -92,14 +92,17 @@ def high_mark(df: DataFrame) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str, source: str) -> dict | None:
-    """Newest state row of a source. The log is append-only, so a crash cannot lose it."""
+    """Newest state row of a source. The log is append-only, so a crash cannot lose it.
+
+    A row without a mark, from a cycle that found an empty source, is no state.
+    """
     rows = (
         spark.read.schema(STATE_SCHEMA)
         .parquet(path)
-        .filter(F.col("source") == source)
+        .filter((F.col("source") == source) & F.col("last_updated_at").isNotNull())
         .agg(
             F.max_by(
-                F.struct("*"), F.struct("rows_synced", "last_run_at", "last_updated_at", "last_id")
+                F.struct("*"), F.struct("cycles", "rows_synced", "last_run_at", "last_updated_at", "last_id")
             ).alias("s")
         )
         .select("s.*")
@@ -135,7 +138,10 @@ def commit_state(
         "last_run_at": now,
         "rows_synced": (prior.get("rows_synced") or 0) + top["rows_synced"],
         "last_full_scan_at": now if full else prior.get("last_full_scan_at"),
+        "cycles": (prior.get("cycles") or 0) + 1,
     }
+    if mark[0] is None:
+        return state  # nothing seen yet, so nothing to resume from
     spark.createDataFrame([tuple(state.values())], STATE_SCHEMA).coalesce(1).write.mode(
         "append"
     ).parquet(path)

@@ -17,18 +17,44 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, by: str = "yyyymm") -> None:
-    """Append one batch; replaying the same batch replaces only its own files."""
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, by: str = "yyyymm", writer: str = "stream"
+) -> None:
+    """Append one batch; replaying the same batch of the same writer replaces only its own files.
+
+    Writers number their batches on their own: a stream, a poll and a load can share a table.
+    """
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        df.withColumn("writer", F.lit(writer))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .partitionBy(by, "batch_id")
+        .partitionBy(by, "writer", "batch_id")
         .parquet(path)
     )
 
 
+def writers(spark: SparkSession, path: str, by: str = "yyyymm") -> set[str]:
+    """Names of those that have batches in a table (metadata only)."""
+    return {
+        name
+        for value in partitions(spark, path, by)
+        for name in partitions(spark, f"{path}/{by}={value}", "writer")
+        if partitions(spark, f"{path}/{by}={value}/writer={name}", "batch_id")
+    }
+
+
+def replace_range(df: DataFrame, path: str, by: str, values: list) -> None:
+    """Make the partitions ``values`` hold exactly ``df``: those it has no rows for go too."""
+    spark = df.sparkSession
+    replace_partitions(df, path, by)
+    have = {str(r[0]) for r in df.select(F.col(by).cast("string")).distinct().collect()}
+    for value in values:
+        if str(value) not in have and str(value) in partitions(spark, path, by):
+            drop_partition(spark, path, f"{by}={value}")
+
+
 def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Overwrite just the partitions present in ``df``."""
     (

@@ -25,6 +25,9 @@ RAW_SCHEMA = (
     "_version BIGINT, _is_deleted INT, _ingested_at TIMESTAMP, yyyymm INT"
 )
 
+# Versioned rows as they lie in a table, under the batch of the job that wrote them.
+STORED_SCHEMA = f"{RAW_SCHEMA}, writer STRING, batch_id BIGINT"
+
 STATUSES = ("pending", "settled", "failed", "reversed")
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,20 @@ from pyspark.sql.streaming import StreamingQuery
 from paytide.functions.timing import month_key
 from paytide.operators import states
 from paytide.sources import lake
+from paytide.sources.bulk import bulk_load
 from paytide.sources.cdc import good_rows, parse_cdc, split_dlq
-from paytide.sources.tables import RAW_SCHEMA
+from paytide.sources.tables import STORED_SCHEMA
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one analytical mirror."""
+    """Folders of one analytical mirror, and the name under which this job writes to it.
+
+    Two jobs that number their batches on their own need two names.
+    """
 
     root: str
+    writer: str = "stream"
 
     @property
     def raw(self) -> str:
@@ -44,12 +50,12 @@ class Layout:
 
     @property
     def checkpoint(self) -> str:
-        return f"{self.root}/_checkpoint"
+        return f"{self.root}/_checkpoint" + ("" if self.writer == "stream" else f"_{self.writer}")
 
 
 def write_raw(batch: DataFrame, batch_id: int, layout: Layout) -> None:
     """Versioned append. A replayed batch overwrites its own files and nothing else."""
-    lake.write_batch(batch, layout.raw, batch_id)
+    lake.write_batch(batch, layout.raw, batch_id, writer=layout.writer)
 
 
 def update_states(batch: DataFrame, batch_id: int, layout: Layout) -> None:
@@ -57,8 +63,20 @@ def update_states(batch: DataFrame, batch_id: int, layout: Layout) -> None:
     trigger; ``states.rebuild_states`` is the repair."""
     daily = states.daily_states(batch).withColumn("yyyymm", month_key("day"))
     funnel = states.funnel_states(batch).withColumn("yyyymm", month_key("hour"))
-    lake.write_batch(daily, layout.daily, batch_id)
-    lake.write_batch(funnel, layout.funnel, batch_id)
+    lake.write_batch(daily, layout.daily, batch_id, writer=layout.writer)
+    lake.write_batch(funnel, layout.funnel, batch_id, writer=layout.writer)
+
+
+def load(tx: DataFrame, layout: Layout, slices: list[tuple[date, date]]) -> None:
+    """Bulk load into a live mirror: versions and states, as batches of the writer ``load``."""
+    own = replace(layout, writer="load")
+    for (start, _), raw in zip(slices, bulk_load(tx, own.raw, slices, own.writer), strict=True):
+        month = start.year * 100 + start.month
+        if raw.limit(1).count():
+            update_states(raw, month, own)
+        else:
+            for path in (own.daily, own.funnel):
+                lake.drop_partition(tx.sparkSession, path, f"yyyymm={month}/writer={own.writer}")
 
 
 def batch_metrics(parsed: DataFrame, batch_id: int) -> DataFrame:
@@ -116,8 +134,12 @@ def start(
     """Run a stream into the layout: all available data, or one batch per interval.
 
     Offsets are committed after the batch function returns, so a batch that fails is read
-    again, and its rewrite is idempotent.
+    again, and its rewrite is idempotent. A stream without a checkpoint counts its batches
+    from 0 again, so it must not write under a name that has written before.
     """
+    spark = stream.sparkSession
+    if not lake.exists(spark, layout.checkpoint) and layout.writer in lake.writers(spark, layout.raw):
+        raise ValueError(f"no checkpoint, but writer {layout.writer!r} has batches: name another writer")
     writer = stream.writeStream.foreachBatch(process).option(
         "checkpointLocation", layout.checkpoint
     )
@@ -126,7 +148,7 @@ def start(
 
 
 def read_raw(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.schema(f"{RAW_SCHEMA}, batch_id BIGINT").parquet(layout.raw)
+    return spark.read.schema(STORED_SCHEMA).parquet(layout.raw)
 
 
 def hourly_counts(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:

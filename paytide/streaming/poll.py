@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from paytide.functions.timing import interval
 from paytide.session import stored
 from paytide.sources import bulk, increment, lake
-from paytide.sources.tables import RAW_SCHEMA
+from paytide.sources.tables import STORED_SCHEMA
 from paytide.streaming.ingest import Layout, update_states, write_raw
 
 
@@ -20,10 +21,9 @@ def state_path(layout: Layout) -> str:
 
 def read_target(spark: SparkSession, layout: Layout) -> DataFrame:
     """The mirror, or an empty table before the first cycle."""
-    schema = f"{RAW_SCHEMA}, batch_id BIGINT"
     if not lake.exists(spark, layout.raw):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(layout.raw)
+        return spark.createDataFrame([], STORED_SCHEMA)
+    return spark.read.schema(STORED_SCHEMA).parquet(layout.raw)
 
 
 def scan(
@@ -42,7 +42,7 @@ def scan(
     keep only versions the target lacks.
     """
     if state is None:
-        return source
+        return source if batch is None else source.orderBy("updated_at", "id").limit(batch)
     wm, wm_id = state["last_updated_at"], state["last_id"]
     resumed = increment.read_increment(
         source, wm, wm_id, batch=batch, floor_days=None if full else 7, inclusive=False
@@ -67,7 +67,7 @@ def cycle(
     source: DataFrame,
     layout: Layout,
     now: datetime,
-    batch_id: int,
+    batch_id: int | None = None,
     name: str = "transactions",
     batch: int | None = None,
     overlap_seconds: int = 30,
@@ -77,8 +77,14 @@ def cycle(
 
     The rows are stored once, so what is written, counted and marked is the same set
     although the source keeps changing. If anything fails before the last step, the next
-    cycle starts from the old watermark and its rewrite is harmless.
+    cycle starts from the old watermark and its rewrite is harmless: unless ``batch_id`` is
+    given, batches are numbered by the cycles committed so far.
+
+    With ``batch``, a cycle takes at most that many rows past the watermark. A full scan is
+    committed as one only when it has found fewer: until then every cycle goes on with it, so
+    no row falls behind the creation floor. The result tells whether the cycle was ``capped``.
     """
+    layout = layout if layout.writer != "stream" else replace(layout, writer="poll")
     marks = state_path(layout)
     state = increment.read_state(spark, marks, name) if lake.exists(spark, marks) else None
     full = increment.full_scan_due(state and state["last_full_scan_at"], now, full_scan_hours)
@@ -86,9 +92,26 @@ def cycle(
         source, read_target(spark, layout), state, full, batch, overlap_seconds, full_scan_hours
     )
     rows = stored(found, "cycle")
+    capped = False
+    if batch is not None:
+        fresh = rows
+        if state is not None:
+            fresh = rows.filter(increment.after(state["last_updated_at"], state["last_id"], inclusive=False))
+        capped = fresh.count() >= batch
+    number = batch_id if batch_id is not None else (state["cycles"] or 0) if state else 0
     raw = bulk.to_raw(rows, F.lit(now))
-    write_raw(raw, batch_id, layout)
-    update_states(raw, batch_id, layout)
-    return increment.commit_state(
-        spark, marks, name, rows, now, full=full, previous=state
+    write_raw(raw, number, layout)
+    update_states(raw, number, layout)
+    done = increment.commit_state(
+        spark, marks, name, rows, now, full=full and not capped, previous=state
     )
+    return done | {"capped": capped}
+
+
+def drain(
+    spark: SparkSession, source: DataFrame, layout: Layout, now: datetime, batch: int, **options
+) -> dict:
+    """Cycles until one is not full. A failed cycle raises; calling again resumes after the last."""
+    while (state := cycle(spark, source, layout, now, batch=batch, **options))["capped"]:
+        pass
+    return state
