@@ -173,6 +173,22 @@ def purge(tables: dict[str, DataFrame], predicate: Column) -> dict[str, DataFram
     return {name: df.filter(keep) for name, df in tables.items()}
 
 
+def purge_stored(spark: SparkSession, path: str, by: tuple[str, ...], predicate: Column) -> list[tuple]:
+    """Physically remove matching rows from a partitioned table; returns the partitions rewritten.
+
+    Only partitions that hold such rows are read again and rewritten. Their names, a list as
+    short as the folder listing, are all that reaches the driver.
+    """
+    table = spark.read.parquet(path)
+    hit = F.coalesce(predicate, F.lit(False))
+    touched = [tuple(r) for r in table.filter(hit).select(*by).distinct().collect()]
+    if touched:
+        names = spark.createDataFrame(touched, table.select(*by).schema)
+        kept = table.join(names, list(by), "left_semi").filter(~hit)
+        lake.rewrite(kept, path, by, touched, workspace(spark, "purge"))
+    return touched
+
+
 def partition_diff(source: DataFrame, shadow: DataFrame, by: Column, name: str, key: str) -> DataFrame:
     """Counts and checksums of two copies by partition; any difference forbids the swap."""
     a = partition_checksum(source, by, name, key, *source.columns)

@@ -10,6 +10,8 @@ from paytide.operators import lifecycle, refresh, states, versions
 from paytide.plans.oracle import sql
 from paytide.plans.registry import query
 from paytide.plans.views import Views
+from paytide.session import workspace
+from paytide.sources import lake
 
 
 @query(
@@ -449,6 +451,32 @@ def purge_consistency(v: Views):
     return out
 
 
+@query(
+    "purge_rewritten",
+    sql(
+        "raw daily funnel",
+        """SELECT 'raw' AS table_name, count(*) AS rows_left, count(DISTINCT source_institution) AS institutions_left
+        FROM raw WHERE source_institution <> '007'
+        UNION ALL SELECT 'daily', count(*), count(DISTINCT source_institution) FROM daily WHERE source_institution <> '007'
+        UNION ALL SELECT 'funnel', count(*), count(DISTINCT source_institution) FROM funnel WHERE source_institution <> '007'""",
+    ),
+)
+def purge_rewritten(v: Views):
+    """The same purge carried out on stored tables, which are then read back."""
+    root = workspace(v.spark, "purged")
+    out = None
+    for name, df, day in (("raw", v.raw, "created_at"), ("daily", v.daily, "day"), ("funnel", v.funnel, "hour")):
+        path = f"{root}/{name}"
+        lake.replace_partitions(df.withColumn("on_day", F.to_date(day)), path, "on_day")
+        lifecycle.purge_stored(v.spark, path, ("on_day",), F.col("source_institution") == "007")
+        row = v.spark.read.parquet(path).agg(
+            F.count("*").alias("rows_left"),
+            F.count_distinct("source_institution").alias("institutions_left"),
+        ).select(F.lit(name).alias("table_name"), "rows_left", "institutions_left")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query(
     "prefix_and_tag_filters",
     sql(

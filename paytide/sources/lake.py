@@ -66,6 +66,24 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
     )
 
 
+def rewrite(kept: DataFrame, path: str, by: tuple[str, ...], touched: list[tuple], staging: str) -> None:
+    """Make the partitions ``touched`` (values of ``by``) hold exactly ``kept``, read from themselves.
+
+    Rows go through ``staging`` first, since a partition cannot be overwritten while it is
+    read; a crash before the overwrite leaves the table as it was. Emptied partitions go.
+    """
+    spark = kept.sparkSession
+    kept.write.parquet(staging)
+    rows = spark.read.schema(kept.schema).parquet(staging)
+    replace_partitions(rows, path, *by)
+    have = {tuple(map(str, r)) for r in rows.select(*by).distinct().collect()}
+    for values in touched:
+        if tuple(map(str, values)) not in have:
+            drop_partition(spark, path, "/".join(f"{c}={v}" for c, v in zip(by, values, strict=True)))
+    fs, target = _fs(spark, staging)
+    fs.delete(target, True)
+
+
 def partitions(spark: SparkSession, path: str, key: str) -> list[str]:
     """Values of the top-level partition key, from folder names (metadata only)."""
     if not exists(spark, path):
