@@ -173,13 +173,13 @@ def test_compaction_leaves_one_version(spark, tmp_path):
     versions.compact(spark, layout.raw, [202401])
     after = ingest.read_raw(spark, layout).drop("writer", "batch_id").collect()
     assert after == before and len(after) == 1
-    assert lake.partitions(spark, f"{layout.raw}/yyyymm=202401", "batch_id") == ["-2"]
-    # the stream goes on with its own batch ids, and a later compaction takes both in
+    assert lake.partitions(spark, f"{layout.raw}/yyyymm=202401/writer=compacted", "batch_id") == ["0"]
+    # the stream goes on under its own name, and a later compaction takes both in
     again = event(op="u", status="settled", updated_at="2024-01-10T12:02:00Z")
     run(spark.createDataFrame([(again.encode(),)], "value BINARY"), 2)
     versions.compact(spark, layout.raw, [202401])
     assert [r.status for r in ingest.read_raw(spark, layout).collect()] == ["settled"]
-    assert lake.partitions(spark, f"{layout.raw}/yyyymm=202401", "batch_id") == ["-3"]
+    assert lake.partitions(spark, f"{layout.raw}/yyyymm=202401/writer=compacted", "batch_id") == ["1"]
 
 
 def test_hourly_stream_closes_windows(spark, make_tx, tmp_path):
