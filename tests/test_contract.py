@@ -6,7 +6,10 @@ import pytest
 import __spark_entry__ as contract
 
 ROOT = "/root/testdata/sf0.001"
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 @pytest.fixture(scope="module")
