@@ -4,8 +4,8 @@ Categories are predicted one after the other by linear models. A later model see
 of the text and the probabilities of all earlier categories; while it is trained, those come
 from models that did not see the row (out-of-fold predictions), so that it learns to trust them
 as far as they deserve. Features are hashed words and parts of words, present or not; for each
-category those that divide the labelled rows most clearly, by a likelihood-ratio test over all
-labelled rows, are kept.
+category those that divide the sampled labelled rows most clearly, by a likelihood-ratio test,
+are kept.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paytide.llm import hashing
+from paytide.session import stored
 
 BITS = 18
 PART = 4
@@ -100,7 +101,7 @@ def _solve(x: list[np.ndarray], extra: np.ndarray, y: np.ndarray, n: int, rounds
 
 
 def _table(labelled: DataFrame, names: list[str]) -> dict[str, np.ndarray]:
-    """Per category, rows of each feature among its 0 and 1 labels, over all labelled rows."""
+    """Per category, rows of each feature among its 0 and 1 labels."""
     slots = 2 * len(names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,11 +143,23 @@ def _clearest(counts: np.ndarray, rows: np.ndarray, most: int, least: float) ->
     return np.sort(best[2 * score[best] > least])
 
 
-def fit(labelled: DataFrame, names: list[str], most_rows: int = 20_000, most_features: int = 256, least: float = 20.0) -> list[Link]:
-    """Train the chain on rows of (text, one 0/1 column per category).
+def drawn(marks: DataFrame, names: list[str], most_rows: int) -> DataFrame:
+    """At most ``most_rows`` rows of (doc_id, one 0/1 column per category), lowest hash of the id first.
+
+    Half of them have a positive label if there are enough. Only ids and labels move, and each
+    of 64 parts gives no more than its share can be.
+    """
+    positive = F.greatest(F.lit(0), *[F.coalesce(c, F.lit(0)) for c in names])
+    keyed = marks.withColumn("_y", positive).withColumn("_h", F.xxhash64("doc_id"))
+    part = Window.partitionBy("_y", F.pmod("_h", F.lit(64))).orderBy("_h")
+    whole = Window.partitionBy("_y").orderBy("_h")
+    few = keyed.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= most_rows // 2)
+    return few.withColumn("_r", F.row_number().over(whole)).filter(F.col("_r") <= most_rows // 2).drop("_y", "_h", "_r")
+
+
+def fit(labelled: DataFrame, names: list[str], most_features: int = 256, least: float = 20.0) -> list[Link]:
+    """Train the chain on rows of (text, one 0/1 column per category), a sample of bounded size.
 
-    Features are chosen by counts over all labelled rows; weights are fitted on at most
-    ``most_rows`` of them, half with a positive label if there are enough, lowest hash first.
     Rows whose label is null in a category are left out of that category's model.
     """
     labelled = labelled.select("text", *names)
@@ -155,13 +168,7 @@ def fit(labelled: DataFrame, names: list[str], most_rows: int = 20_000, most_fea
     rows = {c: np.array([totals[2 * k], totals[2 * k + 1]], dtype=float) for k, c in enumerate(names)}
     wanted = {c: _clearest(counts[c], rows[c], most_features, least) for c in names}
     union = np.unique(np.concatenate(list(wanted.values())))
-    positive = F.greatest(F.lit(0), *[F.coalesce(c, F.lit(0)) for c in names])
-    keyed = labelled.select("*", positive.alias("_y"), F.xxhash64("text", *names).alias("_h")).withColumn("_salt", F.pmod("_h", F.lit(64)))
-    # few rows per group leave each task; only then are they ranked together
-    first = Window.partitionBy("_y", "_salt").orderBy("_h")
-    second = Window.partitionBy("_y").orderBy("_h")
-    drawn = keyed.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= most_rows // 2)
-    drawn = drawn.withColumn("_r", F.row_number().over(second)).filter(F.col("_r") <= most_rows // 2)
+    keyed = labelled.select("*", F.xxhash64("text", *names).alias("_h"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +180,7 @@ def fit(labelled: DataFrame, names: list[str], most_rows: int = 20_000, most_fea
             )
 
     schema = "h long, " + ", ".join(f"`{c}` int" for c in names) + ", found array<int>"
-    sample = drawn.select("text", "_h", *names).mapInArrow(describe, schema).toArrow().to_pydict()
+    sample = keyed.select("text", "_h", *names).mapInArrow(describe, schema).toArrow().to_pydict()
     order = sorted(range(len(sample["h"])), key=lambda i: (sample["h"][i], sample["found"][i]))
     x = [np.array(sample["found"][i], dtype=np.int64) for i in order]
     fold = np.array([(sample["h"][i] >> 7) % FOLDS for i in order], dtype=np.int64)  # copies share a fold
@@ -235,14 +242,18 @@ def predict(docs: DataFrame, chain: list[Link], threshold: float = 0.5) -> DataF
 CATEGORIES = ["low_quality", "toxic"]
 
 
-def train_documents(docs: DataFrame, labels: DataFrame) -> list[Link]:
+def train_documents(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> list[Link]:
     """The chain for documents and labels (doc_id, quality, toxic): low quality, then toxic.
 
-    Labels without a document, or with a null id, teach nothing. A document labelled twice
-    counts once for each.
+    It is fitted on at most ``most_rows`` labelled rows, so few that their ids are broadcast and
+    no other text moves. Labels without a document, or with a null id, teach nothing. A
+    document labelled twice counts once for each.
     """
-    marks = labels.select("doc_id", (1 - F.col("quality")).cast("int").alias("low_quality"), F.col("toxic").cast("int").alias("toxic"))
-    return fit(docs.select("doc_id", "text").join(marks, "doc_id"), CATEGORIES)
+    marks = labels.filter("doc_id IS NOT NULL").select(
+        "doc_id", (1 - F.col("quality")).cast("int").alias("low_quality"), F.col("toxic").cast("int").alias("toxic")
+    )
+    chosen = F.broadcast(drawn(marks, CATEGORIES, most_rows))
+    return fit(stored(docs.select("doc_id", "text").join(chosen, "doc_id"), "labelled"), CATEGORIES)
 
 
 def rate_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
