@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paytide.session import stored
+
 LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
 
@@ -29,15 +31,20 @@ def sample(docs: DataFrame, texts: int, longest: int) -> DataFrame:
     """Up to ``texts`` different texts per language (lang, text), in hash order.
 
     Texts of at most ``longest`` characters come first; longer ones only fill up. Only digests
-    are ranked, and copies of a text count once.
+    are ranked, in 256 parts of which each gives a sixteenth of the number at most, and copies
+    of a text count once.
     """
     keyed = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(
         "lang", F.xxhash64("text").alias("h"), (F.length("text") > longest).alias("long"), "text"
     )
-    order = Window.partitionBy("lang").orderBy("long", "h")
-    chosen = keyed.groupBy("lang", "long", "h").agg(F.count("*").alias("_n"))
-    chosen = chosen.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= texts)
-    picked = keyed.join(chosen.select("lang", "h", "r"), ["lang", "h"])
+    different = keyed.select("lang", "long", "h").distinct()
+    # ranked within parts first: of each part only ``texts`` go on, however many rows a language has
+    part = Window.partitionBy("lang", F.pmod("h", F.lit(256))).orderBy("long", "h")
+    whole = Window.partitionBy("lang").orderBy("long", "h")
+    least = different.withColumn("r", F.row_number().over(part)).filter(F.col("r") <= max(1, texts // 16))
+    chosen = least.withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= texts)
+    # stored, so that its small size is known and the texts need not move to meet it
+    picked = keyed.join(stored(chosen.select("lang", "h", "r"), "sample"), ["lang", "h"])
     return picked.groupBy("lang", "r").agg(F.first("text").alias("text"))
 
 
