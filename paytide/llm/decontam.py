@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from paytide.session import stored
 
 WINDOW = 8
+#: Items of fewer template words are left out.
+LEAST = 4
 #: Letters, digits and marks that a template word may hold.
 SEPARATOR = r"[^\p{L}\p{M}\p{N}⟨·]+"
 #: Units that may follow a number.
@@ -38,18 +40,35 @@ def keys(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.when(w.startswith("⟨"), F.substring(w, 1, 2)).otherwise(w)))
 
 
-def windows(rows: DataFrame, id_column: str, size: int) -> DataFrame:
-    """(id, at, window) for rows of (id, keys): hash of each run of ``size`` keys.
+def values(words: Column) -> Column:
+    """One hash per template word, of the word itself: placeholders count by their value."""
+    return F.transform(words, lambda w: F.xxhash64(F.when(w.startswith("⟨"), F.substring(w, 3, 1 << 30)).otherwise(w)))
 
-    A shorter text of at least four words is one window, its whole run with its length.
-    """
-    rows = rows.withColumn("_n", F.size("keys")).filter("_n >= 4")
-    at = rows.select(id_column, "keys", "_n", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_n") - size, F.lit(0)))).alias("at"))
-    run = F.xxhash64(*[F.get("keys", F.col("at") + i) for i in range(size)])
-    return at.select(id_column, "at", run.alias("window"))
+
+#: Ways to look a text up, and what each makes of template words.
+KINDS = {"typed": keys, "valued": values}
 
 
-def _lettered(keys_of: Column, at: Column, size: int) -> Column:
+def windows(rows: DataFrame, id_column: str, forms: list[tuple[str, int]], counts=None) -> DataFrame:
+    """(id, at, kind, size, window) for rows of (id, an array of hashes per kind).
+
+    A window is the hash of a run of ``size`` places of ``kind``, one for every pair of ``forms``
+    and every place where the run fits and ``counts(kind, size)``, if given, holds.
+    """
+    last = F.greatest(F.lit(-1), *[F.size(kind) - size for kind, size in forms])
+    at = rows.withColumn("_last", last).filter("_last >= 0").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+    runs = []
+    for kind, size in forms:
+        run = F.xxhash64(F.lit(kind), F.lit(size), *[F.get(kind, F.col("at") + i) for i in range(size)])
+        fits = F.col("at") + size <= F.size(kind)
+        fits = fits if counts is None else fits & counts(kind, size)
+        runs.append(F.when(fits, F.struct(F.lit(kind).alias("kind"), F.lit(size).alias("size"), run.alias("window"))))
+    # no lambda here: between generators that are not compiled, every place would hold its whole text
+    run = F.explode(F.array(*runs)) if len(runs) > 1 else runs[0]
+    return at.select(id_column, "at", run.alias("_run")).filter("_run IS NOT NULL").select(id_column, "at", "_run.*")
+
+
+def _lettered(keys_of: Column, at: Column, size: Column) -> Column:
     """How many words of a run are no placeholder."""
     types = F.array(*[F.xxhash64(F.lit(f"⟨{t}")) for t in "nup"])
     return F.size(F.filter(F.slice(keys_of, at + 1, size), lambda k: ~F.array_contains(types, k)))
@@ -60,21 +79,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, size
 
     One row per document and item. An item is held if, on some diagonal, at least ``share`` of
     its windows occur and all its slots are filled consistently; reworded tells that some
-    value differs. Windows with fewer than half their words literal do not count, nor do items
-    of fewer than four words, or null texts. Repeated rows of one document or item count once;
-    rows without an id are left out. Other columns are not looked at.
+    value differs. Items of four words up to ``size`` are one window of their own length. Windows
+    with fewer than half their words literal do not count; an item that has no others is looked
+    up by its values instead, so that only copies with the same numbers and names are found.
+    Items of fewer than four words, and null texts, are left out. Repeated rows of one document
+    or item count once; rows without an id are left out. Other columns are not looked at.
     """
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", template_words(F.col("text")).alias("words"))
     items = stored(items.groupBy("item_id", "words").agg(F.lit(1).alias("_")).select("item_id", "words", keys(F.col("words")).alias("keys")), "items")
-    found = items.select("item_id", "keys", F.size("words").alias("_len"))
-    listed = windows(found, "item_id", size).join(found.select(F.col("item_id").alias("_i"), F.col("keys").alias("_k"), "_len"), F.col("item_id") == F.col("_i"))
-    listed = listed.filter(_lettered(F.col("_k"), F.col("at"), size) * 2 >= F.least(F.lit(size), F.col("_len")))
-    listed = stored(listed.select("item_id", F.col("at").alias("item_at"), "window").distinct(), "windows")
+    found = items.filter(F.size("words") >= LEAST).select("item_id", *[of(F.col("words")).alias(kind) for kind, of in KINDS.items()])
+    found = found.withColumn("_size", F.least(F.lit(size), F.size("typed")))
+    places = F.sequence(F.lit(0), F.size("typed") - F.col("_size"))
+    found = found.withColumn("_literal", F.transform(places, lambda at: _lettered(F.col("typed"), at, F.col("_size")) * 2 >= F.col("_size")))
+    found = found.withColumn("_kind", F.when(F.array_contains("_literal", True), "typed").otherwise("valued"))
+    counts = lambda kind, n: (F.col("_kind") == kind) & (F.col("_size") == n) & (F.lit(kind == "valued") | F.get("_literal", F.col("at")))
+    listed = windows(found, "item_id", [(kind, n) for kind in KINDS for n in range(LEAST, size + 1)], counts)
+    listed = stored(listed.select("item_id", F.col("at").alias("item_at"), "kind", "size", "window").distinct(), "windows")
     n = listed.count()
+    forms = sorted((r["kind"], r["size"]) for r in listed.select("kind", "size").distinct().collect()) or [("typed", size)]
     wanted = listed.select("window").distinct()
     wanted = F.broadcast(wanted) if n <= BROADCAST_WINDOWS else wanted
     texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", template_words(F.col("text")).alias("words"))
-    spread = windows(texts.select("doc_id", keys(F.col("words")).alias("keys")), "doc_id", size)
+    texts = texts.select("doc_id", *[KINDS[kind](F.col("words")).alias(kind) for kind in sorted({kind for kind, _ in forms})])
+    spread = windows(texts, "doc_id", forms).select("doc_id", "at", "window")
     # first which windows occur at all, then which items they belong to: few rows are left by then
     hits = stored(spread.join(wanted, "window", "left_semi").distinct(), "hits")
     diagonal = hits.join(listed, "window").select("doc_id", "item_id", "item_at", "at", (F.col("at") - F.col("item_at")).alias("shift"))

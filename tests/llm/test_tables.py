@@ -140,6 +140,23 @@ def test_reworded_questions_are_found(spark):
     assert decontam.contaminated(frame, bench.limit(0)).count() == 0
 
 
+def found(spark, docs, items):
+    frame, bench = spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id LONG, text STRING")
+    return sorted((r.doc_id, r.item_id, r.reworded) for r in decontam.contaminated(frame, bench).collect())
+
+
+def test_short_items_and_tables_are_found_in_longer_documents(spark):
+    items = [
+        (4, "name our largest moon"), (5, "Add 17 to both sides"), (7, "which red planet has two small moons"),
+        (9, "12 31 7 44 90 11 5 63 8 2"), (10, "3 8 5 13"), (8, "why does ice float on water in winter"),
+    ]
+    docs = [(i, f"some words stand before it. {text} and other words stand after it here") for i, text in items]
+    docs += [(105, "first add 23 to both sides of it"), (109, "12 31 7 44 91 12 5 64 8 2 and so on it goes here"), (110, "3 8 5 14 x y z w")]
+    docs += [(104, "Name our largest moon"), (100, "name our largest river and some other moon")]
+    want = [(i, i, False) for i, _ in items] + [(104, 4, False), (105, 5, True)]
+    assert found(spark, docs, items) == sorted(want)
+
+
 def rude_rows(n=400, seed=2):
     r = random.Random(seed)
     docs, labels = [], []
