@@ -157,6 +157,27 @@ def test_short_items_and_tables_are_found_in_longer_documents(spark):
     assert found(spark, docs, items) == sorted(want)
 
 
+def test_edited_copies_are_found(spark):
+    long = "In June, Alice Smith paid for rice. Bert buys four more pens at the shop. Then he went home with all of the things that she had left for him there."
+    paris = "the train from Paris to the sea takes about four hours and costs more than we had ever thought before"
+    inserted = "one plain question of twenty words that asks how many old ships were seen near the big harbour that day"
+    items = [(1, long), (2, paris), (3, inserted), (4, QUESTION)]
+    docs = [
+        (1, long.replace("Bert", "Dora").replace("Alice Smith", "Mary Ann Jones")),
+        (2, paris.replace("Paris", "New York")),
+        (3, inserted.replace("asks how", "asks us how")),
+        (4, QUESTION.upper()), (5, QUESTION.lower()), (6, long.upper()),
+        (7, inserted[:50] + " but nothing else of it comes after this place in the text"),
+        (8, "In June, Carol paid 7 kg of rice to Dan for 31 days and then 9 kg again today at home."),
+    ]
+    assert found(spark, docs, items) == [
+        (1, 1, True), (2, 2, True), (3, 3, False), (4, 4, False), (5, 4, False), (6, 1, False)
+    ]
+    # texts of one id are looked at one by one
+    twice = [(1, QUESTION.replace("3.5", "4")), (1, QUESTION.replace("3.5", "6"))]
+    assert found(spark, twice, items) == [(1, 4, True)]
+
+
 def rude_rows(n=400, seed=2):
     r = random.Random(seed)
     docs, labels = [], []
