@@ -73,8 +73,8 @@ def _log_odds(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def _solve(x: list[np.ndarray], extra: np.ndarray, y: np.ndarray, n: int, rounds: int = 25, ridge: float = 0.3):
-    """Ridge logistic regression on 0/1 rows and extra columns by Newton steps with halving."""
+def _solve(x: list[np.ndarray], extra: np.ndarray, y: np.ndarray, n: int, weight: np.ndarray, rounds: int = 25, ridge: float = 0.3):
+    """Ridge logistic regression on weighted 0/1 rows and extra columns by Newton steps with halving."""
     full = np.zeros((len(x), n + extra.shape[1] + 1), dtype=np.float32)
     full[np.repeat(np.arange(len(x)), [len(i) for i in x]), np.concatenate([*x, np.zeros(0, dtype=np.int64)]).astype(np.int64)] = 1
     full[:, n:-1], full[:, -1] = extra, 1
@@ -83,14 +83,14 @@ def _solve(x: list[np.ndarray], extra: np.ndarray, y: np.ndarray, n: int, rounds
 
     def loss(w: np.ndarray) -> float:
         z = full @ w
-        return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * penalty @ w**2)
+        return float(weight @ np.logaddexp(0, z) - (weight * y) @ z + 0.5 * penalty @ w**2)
 
     w = np.zeros(full.shape[1])
     now = loss(w)
     for _ in range(rounds):
         p = _sigmoid(full @ w)
-        gradient = full.T @ (p - y) + penalty * w
-        curvature = (full * np.maximum(p * (1 - p), 1e-6)[:, None].astype(np.float32)).T @ full + np.diag(penalty)
+        gradient = full.T @ (weight * (p - y)) + penalty * w
+        curvature = (full * (weight * np.maximum(p * (1 - p), 1e-6))[:, None].astype(np.float32)).T @ full + np.diag(penalty)
         step, size = np.linalg.solve(curvature, gradient), 1.0
         while (new := loss(w - size * step)) > now and size > 1e-4:
             size /= 2
@@ -101,28 +101,28 @@ def _solve(x: list[np.ndarray], extra: np.ndarray, y: np.ndarray, n: int, rounds
 
 
 def _table(labelled: DataFrame, names: list[str]) -> dict[str, np.ndarray]:
-    """Per category, rows of each feature among its 0 and 1 labels."""
+    """Per category, summed weights of the rows of each feature among its 0 and 1 labels."""
     slots = 2 * len(names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((slots, 1 << BITS), dtype=np.int32)
+        total = np.zeros((slots, 1 << BITS))
         for batch in batches:
-            labels = [batch.column(c).to_pylist() for c in names]
+            labels, weight = [batch.column(c).to_pylist() for c in names], batch.column("weight").to_numpy()
             for i, found in features(batch.column("text")):
                 for k, values in enumerate(labels):
                     if values[i] in (0, 1):
-                        total[2 * k + values[i], found] += 1
+                        total[2 * k + values[i], found] += weight[i]
         at, feature = np.nonzero(total)
         for cut in range(0, len(at), 1 << 16):
             part = slice(cut, cut + (1 << 16))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at[part].astype(np.int32)), pa.array(feature[part].astype(np.int32)), pa.array(total[at[part], feature[part]].astype(np.int64))],
+                [pa.array(at[part].astype(np.int32)), pa.array(feature[part].astype(np.int32)), pa.array(total[at[part], feature[part]])],
                 ["slot", "feature", "c"],
             )
 
-    found = labelled.select("text", *names).mapInArrow(count, "slot int, feature int, c long")
+    found = labelled.select("text", *names, "weight").mapInArrow(count, "slot int, feature int, c double")
     rows = found.groupBy("slot", "feature").agg(F.sum("c").alias("c")).toArrow()  # at most 2 * categories * 2**18 rows
-    table = np.zeros((slots, 1 << BITS), dtype=np.int64)
+    table = np.zeros((slots, 1 << BITS))
     table[rows.column("slot").to_numpy(), rows.column("feature").to_numpy()] = rows.column("c").to_numpy()
     return {name: table[2 * k : 2 * k + 2] for k, name in enumerate(names)}
 
@@ -146,25 +146,32 @@ def _clearest(counts: np.ndarray, rows: np.ndarray, most: int, least: float) ->
 def drawn(marks: DataFrame, names: list[str], most_rows: int) -> DataFrame:
     """At most ``most_rows`` rows of (doc_id, one 0/1 column per category), lowest hash of the id first.
 
-    Half of them have a positive label if there are enough. Only ids and labels move, and each
-    of 64 parts gives no more than its share can be.
+    Half of them have a positive label if there are enough. A row's ``weight`` is what its kind
+    (with a positive label or without) is of all rows, over what it is of the drawn ones: the
+    weighted rows have the rates of all, and weigh one each on average. Only ids and labels move,
+    and each of 64 parts gives no more than its share can be.
     """
     positive = F.greatest(F.lit(0), *[F.coalesce(c, F.lit(0)) for c in names])
     keyed = marks.withColumn("_y", positive).withColumn("_h", F.xxhash64("doc_id"))
+    sizes = {y: n for y, n in keyed.groupBy("_y").count().collect()}
+    taken = {y: min(n, most_rows // 2) for y, n in sizes.items()}
+    # in steps of 2**-16, so that sums do not depend on their order
+    weights = {y: max(1, round(65536 * n / sum(sizes.values()) * sum(taken.values()) / max(1, taken[y]))) / 65536 for y, n in sizes.items()}
+    weight = F.when(F.col("_y") == 1, weights.get(1, 1.0)).otherwise(weights.get(0, 1.0))
     part = Window.partitionBy("_y", F.pmod("_h", F.lit(64))).orderBy("_h")
     whole = Window.partitionBy("_y").orderBy("_h")
     few = keyed.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= most_rows // 2)
-    return few.withColumn("_r", F.row_number().over(whole)).filter(F.col("_r") <= most_rows // 2).drop("_y", "_h", "_r")
+    return few.withColumn("_r", F.row_number().over(whole)).filter(F.col("_r") <= most_rows // 2).withColumn("weight", weight).drop("_y", "_h", "_r")
 
 
 def fit(labelled: DataFrame, names: list[str], most_features: int = 256, least: float = 20.0) -> list[Link]:
-    """Train the chain on rows of (text, one 0/1 column per category), a sample of bounded size.
+    """Train the chain on rows of (text, one 0/1 column per category, weight), a sample of bounded size.
 
     Rows whose label is null in a category are left out of that category's model.
     """
-    labelled = labelled.select("text", *names)
+    labelled = labelled.select("text", *names, "weight")
     counts = _table(labelled, names)
-    totals = labelled.agg(*[F.count(F.when(F.col(c) == v, 1)).alias(f"{c}{v}") for c in names for v in (0, 1)]).head()
+    totals = labelled.agg(*[F.coalesce(F.sum(F.when(F.col(c) == v, F.col("weight"))), F.lit(0.0)).alias(f"{c}{v}") for c in names for v in (0, 1)]).head()
     rows = {c: np.array([totals[2 * k], totals[2 * k + 1]], dtype=float) for k, c in enumerate(names)}
     wanted = {c: _clearest(counts[c], rows[c], most_features, least) for c in names}
     union = np.unique(np.concatenate(list(wanted.values())))
@@ -176,14 +183,15 @@ def fit(labelled: DataFrame, names: list[str], most_features: int = 256, least:
             for i, f in features(batch.column("text")):
                 found[i] = np.searchsorted(union, f[np.isin(f, union, assume_unique=True)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_h"), *(batch.column(c).cast(pa.int32()) for c in names), pa.array(found, pa.list_(pa.int32()))], ["h", *names, "found"]
+                [batch.column("_h"), *(batch.column(c).cast(pa.int32()) for c in names), batch.column("weight"), pa.array(found, pa.list_(pa.int32()))], ["h", *names, "weight", "found"]
             )
 
-    schema = "h long, " + ", ".join(f"`{c}` int" for c in names) + ", found array<int>"
-    sample = keyed.select("text", "_h", *names).mapInArrow(describe, schema).toArrow().to_pydict()
+    schema = "h long, " + ", ".join(f"`{c}` int" for c in names) + ", weight double, found array<int>"
+    sample = keyed.select("text", "_h", *names, "weight").mapInArrow(describe, schema).toArrow().to_pydict()
     order = sorted(range(len(sample["h"])), key=lambda i: (sample["h"][i], sample["found"][i]))
     x = [np.array(sample["found"][i], dtype=np.int64) for i in order]
     fold = np.array([(sample["h"][i] >> 7) % FOLDS for i in order], dtype=np.int64)  # copies share a fold
+    weight = np.array([sample["weight"][i] for i in order])
     earlier = np.zeros((len(x), 0))
     chain = []
     for name in names:
@@ -197,10 +205,10 @@ def fit(labelled: DataFrame, names: list[str], most_features: int = 256, least:
         for f in range(FOLDS):
             use = np.flatnonzero(known & (fold != f))
             ask = np.flatnonzero(fold == f)
-            w, v, b = _solve([own[i] for i in use], earlier[use], label[use], len(wanted[name]))
+            w, v, b = _solve([own[i] for i in use], earlier[use], label[use], len(wanted[name]), weight[use])
             held[ask] = [_sigmoid(w[own[i]].sum() + earlier[i] @ v + b) for i in ask]
         use = np.flatnonzero(known)
-        w, v, b = _solve([own[i] for i in use], earlier[use], label[use], len(wanted[name]))
+        w, v, b = _solve([own[i] for i in use], earlier[use], label[use], len(wanted[name]), weight[use])
         chain.append(Link(name, wanted[name], w, v, b if rows[name][1] else -20.0))
         earlier = np.column_stack((earlier, _log_odds(held)))
     return chain
@@ -246,12 +254,14 @@ def train_documents(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000)
     """The chain for documents and labels (doc_id, quality, toxic): low quality, then toxic.
 
     It is fitted on at most ``most_rows`` labelled rows, so few that their ids are broadcast and
-    no other text moves. Labels without a document, or with a null id, teach nothing. A
-    document labelled twice counts once for each.
+    no other text moves; they weigh what they stand for among all labels, so that decisions do
+    not turn with the number of labels. Labels without a document, or with a null id, teach
+    nothing and take no place in the sample. A document labelled twice counts once for each.
     """
     marks = labels.filter("doc_id IS NOT NULL").select(
         "doc_id", (1 - F.col("quality")).cast("int").alias("low_quality"), F.col("toxic").cast("int").alias("toxic")
     )
+    marks = stored(marks.join(docs.select("doc_id"), "doc_id", "left_semi"), "marks")
     chosen = F.broadcast(drawn(marks, CATEGORIES, most_rows))
     return fit(stored(docs.select("doc_id", "text").join(chosen, "doc_id"), "labelled"), CATEGORIES)
 
