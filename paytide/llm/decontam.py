@@ -86,14 +86,15 @@ def windows(rows: DataFrame, ids: list[str], forms: list[tuple[str, int]], label
     come too, and windows for which it gives null are left out.
     """
     last = F.greatest(F.lit(-1), *[F.size(kind) - size for kind, size in forms])
-    at = rows.withColumn("_last", last).filter("_last >= 0").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+    # outer, and no filter: what is asked of a generator's input is pushed down to where texts are read, and splits them once more
+    at = rows.withColumn("_last", last).withColumn("at", F.explode_outer(F.when(F.col("_last") >= 0, F.sequence(F.lit(0), F.col("_last")))))
     runs = []
     for kind, size in forms:
         run = F.xxhash64(F.lit(kind), F.lit(size), *[F.get(kind, F.col("at") + i) for i in range(size)]).alias("window")
         holds, more = label(kind, size) if label else (F.lit(True), [])
         runs.append(F.when((F.col("at") + size <= F.size(kind)) & holds, F.struct(run, *more)))
     # no lambda here: between generators that are not compiled, every place would hold its whole text
-    return at.select(*ids, "at", F.explode(F.array(*runs)).alias("_run")).filter("_run IS NOT NULL").select(*ids, "at", "_run.*")
+    return at.select(*ids, "at", F.explode_outer(F.array(*runs)).alias("_run")).filter("_run IS NOT NULL").select(*ids, "at", "_run.*")
 
 
 def _lettered(keys_of: Column, at: Column, size: Column) -> Column:
