@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from paytide.llm import bpe, chat, decontam, jaccard, langid, lm, mixing, pii, sharding, topk, toxicity
+from paytide.llm import bpe, chat, decontam, jaccard, langid, lm, mixing, pii, repair, sharding, topk, toxicity
 from paytide.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audit_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -60,7 +64,7 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run} | {
     f.__name__: f
-    for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op6_preferences, op7_toxicity, op8_jaccard, op9_pii, op10_topk, op13_bpe)
+    for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op6_preferences, op7_toxicity, op8_jaccard, op9_pii, op10_topk, op11_repair, op13_bpe)
 }
 ORACLE: dict[str, str] = {
     "op6_preferences": """
