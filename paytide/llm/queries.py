@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from paytide.llm import bpe, chat, decontam, jaccard, langid, lm, mixing, pii, repair, sharding, topk, toxicity
+from paytide.llm import bpe, chat, decontam, jaccard, langid, lm, mixing, pii, repair, sharding, spelling, topk, toxicity
 from paytide.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audit_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -64,7 +68,7 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run} | {
     f.__name__: f
-    for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op6_preferences, op7_toxicity, op8_jaccard, op9_pii, op10_topk, op11_repair, op13_bpe)
+    for f in (op1_langid, op2_suffix_tree, op3_decontaminate, op4_sharding, op5_mixing, op6_preferences, op7_toxicity, op8_jaccard, op9_pii, op10_topk, op11_repair, op12_spelling, op13_bpe)
 }
 ORACLE: dict[str, str] = {
     "op6_preferences": """
@@ -100,6 +104,46 @@ SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, c.conv_id AS chosen, r.conv_id
        coalesce(c.prefix_turns, r.prefix_turns) AS prefix_turns, coalesce(c.prompt, '') AS prompt,
        c.completion AS chosen_completion, r.completion AS rejected_completion, c.mask AS chosen_mask, r.mask AS rejected_mask
 FROM (SELECT * FROM s WHERE side = 0) c FULL JOIN (SELECT * FROM s WHERE side = 1) r ON c.pair_id = r.pair_id
+""",
+    # crc32 byte by byte; neighbours meet by what is left without one letter
+    "op12_spelling": r"""
+WITH r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), d AS (
+  SELECT id, run, count(*) AS n,
+         flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)]
+           ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS bytes
+  FROM r GROUP BY 1, 2
+), h AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(bytes, lambda b: CAST(b AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))) AS h
+  FROM d
+), w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3
+), c AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM v)
+), p AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM c a JOIN c b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM c a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM c a JOIN v b ON a.rest = b.word
+), g AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(x := -near_n, near := near)) AS best FROM p GROUP BY 1
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -best.x >= 2 * n THEN best.near END AS form, CASE WHEN -best.x >= 2 * n THEN -best.x END AS form_n
+  FROM v LEFT JOIN g ON v.word = g.word
+), t AS (
+  WITH RECURSIVE s AS (
+    SELECT word, word AS root, form FROM f
+    UNION ALL SELECT s.word, f.word, f.form FROM s JOIN f ON s.form = f.word
+  ) SELECT word, root FROM s WHERE form IS NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN t ON f.word = t.word
 """,
     "op10_topk": """
 WITH v AS (
