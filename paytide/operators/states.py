@@ -7,6 +7,8 @@ merged by adding them, so states can be written per batch and combined on read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,24 @@ def _settle_parts() -> list[Column]:
     ]
 
 
-def daily_states(raw: DataFrame, sketch: bool = False) -> DataFrame:
-    """Per day, institution and type. One sketch serves every amount quantile."""
+# States as they lie in a table, under the batch of the job that wrote them.
+DAILY_SCHEMA = (
+    "day DATE, source_institution STRING, type STRING, tx_count BIGINT, total_amount DECIMAL(28,2), "
+    "amount_n BIGINT, settled_count BIGINT, failed_count BIGINT, seconds_sum DECIMAL(26,3), "
+    "seconds_n BIGINT, amount_sketch BINARY, yyyymm INT, writer STRING, batch_id BIGINT"
+)
+FUNNEL_SCHEMA = (
+    "hour TIMESTAMP, type STRING, source_institution STRING, status STRING, cnt BIGINT, "
+    "seconds_sum DECIMAL(26,3), seconds_n BIGINT, seconds_sketch BINARY, yyyymm INT, writer STRING, "
+    "batch_id BIGINT"
+)
+
+
+def daily_states(raw: DataFrame, sketch: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """Per day, institution and type (and ``by``). One sketch serves every amount quantile."""
     extra = [F.kll_sketch_agg_double(F.col("amount").cast("double")).alias("amount_sketch")]
     return raw.groupBy(
-        F.to_date("created_at").alias("day"), "source_institution", "type"
+        F.to_date("created_at").alias("day"), "source_institution", "type", *by
     ).agg(
         F.count("*").alias("tx_count"),
         F.sum("amount").alias("total_amount"),
@@ -44,11 +59,11 @@ def daily_states(raw: DataFrame, sketch: bool = False) -> DataFrame:
     )
 
 
-def funnel_states(raw: DataFrame, sketch: bool = False) -> DataFrame:
-    """Per hour, type, institution and status: the state of rows now, not their transitions."""
+def funnel_states(raw: DataFrame, sketch: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """Per hour, type, institution and status (and ``by``): the state of rows now, not their transitions."""
     extra = [F.kll_sketch_agg_double("settlement_seconds").alias("seconds_sketch")]
     return raw.groupBy(
-        F.date_trunc("hour", "created_at").alias("hour"), "type", "source_institution", "status"
+        F.date_trunc("hour", "created_at").alias("hour"), "type", "source_institution", "status", *by
     ).agg(F.count("*").alias("cnt"), *_settle_parts(), *(extra if sketch else []))
 
 
@@ -72,6 +87,16 @@ def merge_states(states: DataFrame, *keys: str | Column) -> DataFrame:
     return states.groupBy(*keys).agg(*parts, *sketches)
 
 
+def merge_stored(keys: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
+    """Merge stored states of one kind to one row per key, in the types they are stored in."""
+
+    def merge(stored: DataFrame) -> DataFrame:
+        merged = merge_states(stored, *keys, "yyyymm")
+        return merged.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema.fields])
+
+    return merge
+
+
 def mean(total: str, n: str) -> Column:
     """Mean of merged parts; null when nothing was counted."""
     return F.col(total).cast("double") / F.nullif(F.col(n), F.lit(0))

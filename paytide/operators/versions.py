@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paytide.session import workspace
-from paytide.sources import lake
-from paytide.sources.tables import RAW_SCHEMA, STORED_SCHEMA
+from paytide.operators import compaction
+from paytide.sources.tables import STORED_SCHEMA
 
-# Writer name of merged batches.
-COMPACTED = "compacted"
 # Status is mutable and stays out of the key: a status change must replace, not add.
 KEY = ("type", "source_institution", "hour", "external_id")
 
@@ -76,32 +73,21 @@ def purge_old_versions(raw: DataFrame, touched: Column) -> DataFrame:
     return keyed.join(top, list(KEY), "left").filter(kept).select(*raw.columns)
 
 
-def compact(spark: SparkSession, path: str, months: list[int]) -> None:
-    """Rewrite the months to one version per key.
+def purge_stored_versions(spark: SparkSession, path: str, touched: Column) -> list[int]:
+    """Remove superseded versions of the ``touched`` keys from a stored table; returns the months rewritten.
 
-    Only the batches present now are merged, so other jobs may keep appending: the merged rows
-    become the batch of a writer of its own, which is numbered one higher each time. Rows go
-    through a staging folder because a partition cannot be overwritten while it is read.
-    The compacted batch is written before the old ones go; in between, and after a crash
-    there, readers see extra versions, which ``final`` resolves.
+    Only months that hold such a version are read again. What is left of them becomes the merged
+    batch of the month, committed as one (see ``compaction``), so readers see a month either before or after.
     """
-    table = spark.read.schema(STORED_SCHEMA).parquet(path)
-    for month in months:
-        folder = f"{path}/yyyymm={month}"
-        present = [
-            (writer, int(batch))
-            for writer in lake.partitions(spark, folder, "writer")
-            for batch in lake.partitions(spark, f"{folder}/writer={writer}", "batch_id")
-        ]
-        if not present:
-            continue
-        batches = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(b).cast("long").alias("b")) for w, b in present])
-        chosen = table.filter(F.col("yyyymm") == month)
-        chosen = chosen.filter(F.array_contains(batches, F.struct(F.col("writer").alias("w"), F.col("batch_id").alias("b"))))
-        staging = workspace(spark, "compact")
-        final(chosen).drop("writer", "batch_id").write.parquet(staging)
-        merged = 1 + max((b for w, b in present if w == COMPACTED), default=-1)
-        lake.write_batch(spark.read.schema(RAW_SCHEMA).parquet(staging), path, merged, writer=COMPACTED)
-        for writer, batch in present:
-            lake.drop_partition(spark, folder, f"writer={writer}/batch_id={batch}")
-        lake.drop_partition(spark, staging, "")
+    table = compaction.rows(spark, path, STORED_SCHEMA)
+    keyed = _with_key(table.select(*KEY[:2], "created_at", KEY[3], "_version", "yyyymm", touched.cast("int").alias("_hit")))
+    spans = keyed.groupBy(*KEY, "yyyymm").agg(F.max("_hit").alias("_hit"), F.min("_version").alias("a"), F.max("_version").alias("b"))
+    months = sorted(r.yyyymm for r in spans.filter("_hit = 1 AND a < b").select("yyyymm").distinct().collect())
+    if months:
+        compaction.compact(spark, path, STORED_SCHEMA, lambda df: purge_old_versions(df, touched), parts=months, again=True)
+    return months
+
+
+def compact(spark: SparkSession, path: str, months: list[int] | None = None, leave: int = 0) -> int:
+    """Rewrite the months (all without) to one version per key, while other jobs append; see ``compaction``."""
+    return compaction.compact(spark, path, STORED_SCHEMA, final, parts=months, leave=leave)

@@ -60,14 +60,14 @@ def stream_cdc_mirror(v: Views):
 )
 def stream_dead_letters(v: Views):
     layout = _run(v, change_events(transactions(_events(v))), ingest.process_cdc)
-    letters = v.spark.read.schema("value STRING, reason STRING, batch_id BIGINT").parquet(layout.dlq)
+    letters = ingest.read_letters(v.spark, layout)
     return letters.groupBy("reason").agg(F.count("*").alias("n_rows"))
 
 
 @query("stream_batch_metrics")
 def stream_batch_metrics(v: Views):
     layout = _run(v, change_events(transactions(_events(v))), ingest.process_cdc)
-    return v.spark.read.parquet(layout.metrics)
+    return ingest.read_metrics(v.spark, layout)
 
 
 @query(
@@ -82,7 +82,7 @@ def stream_batch_metrics(v: Views):
 def stream_trigger_states(v: Views):
     """Partial states added batch by batch: like an insert trigger, they count versions."""
     layout = _run(v, with_versions(transactions(_events(v))), ingest.process_rows)
-    parts = v.spark.read.parquet(layout.daily)
+    parts = ingest.read_daily(v.spark, layout)
     return states.merge_states(parts, "day", "source_institution").select(
         "day", "source_institution", "tx_count", "total_amount", "settled_count"
     )
@@ -99,8 +99,7 @@ def stream_trigger_states(v: Views):
 def stream_then_compact(v: Views):
     """The versioned table after compaction: one physical row per transaction."""
     layout = _run(v, with_versions(transactions(_events(v))), ingest.process_rows)
-    months = [int(m) for m in lake.partitions(v.spark, layout.raw, "yyyymm")]
-    versions.compact(v.spark, layout.raw, months)
+    versions.compact(v.spark, layout.raw)
     return versions.final_vs_physical(ingest.read_raw(v.spark, layout))
 
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytide.functions.timing import Instant, instant, interval, micros_between
+from paytide.functions.timing import Instant, instant, interval, micros_between, month_key
+from paytide.sources import lake
 
+#: Cycles whose state is kept.
+KEPT_STATES = 8
 STATE_SCHEMA = (
     "source STRING, last_updated_at TIMESTAMP, last_id BIGINT, last_run_at TIMESTAMP, "
     "rows_synced BIGINT, last_full_scan_at TIMESTAMP, cycles BIGINT"
@@ -68,9 +72,31 @@ def overlap_window(
 
     ``target`` has ``tx_id`` and ``_version``; only its versions of the same span are read.
     """
-    start = instant(updated_at) - interval(f"{seconds} seconds")
-    rows = df.filter((F.col("updated_at") >= start) & (F.col("updated_at") <= instant(updated_at)))
-    have = target.filter(F.col("_version") >= F.unix_millis(start)).select("tx_id", "_version")
+    return lacking(looked_at_again(df, updated_at, seconds), target, overlap_start(updated_at, seconds))
+
+
+def overlap_start(updated_at: Instant, seconds: int) -> Column:
+    return instant(updated_at) - interval(f"{seconds} seconds")
+
+
+def looked_at_again(df: DataFrame, updated_at: Instant, seconds: int = 30) -> DataFrame:
+    """The source rows of the last seconds up to the watermark."""
+    return df.filter((F.col("updated_at") >= overlap_start(updated_at, seconds)) & (F.col("updated_at") <= instant(updated_at)))
+
+
+def lacking(rows: DataFrame, target: DataFrame, start: Column) -> DataFrame:
+    """The rows whose version the target does not hold; all rows changed at ``start`` or later.
+
+    The target's versions that the rows name are found first, by a semi-join that includes the
+    month where the target is partitioned by it. A transaction's month is the same in all its
+    versions, so when the rows are few enough to be broadcast their months prune the target's
+    partitions at run time: a look-back over seconds opens the months it touches, not the mirror.
+    """
+    since = F.unix_millis(start)
+    names = rows.select(F.col("id").alias("tx_id"), F.unix_millis("updated_at").alias("_version"), month_key("created_at").alias("yyyymm"))
+    keys = ["tx_id", "_version", *(["yyyymm"] if "yyyymm" in target.columns else [])]
+    wanted = names.filter(F.col("_version") >= since).select(*keys)
+    have = target.filter(F.col("_version") >= since).select(*keys).join(wanted, keys, "left_semi").select("tx_id", "_version")
     missing = (rows["id"] == have["tx_id"]) & (F.unix_millis(rows["updated_at"]) == have["_version"])
     return rows.join(have, missing, "left_anti")
 
@@ -92,22 +118,21 @@ def high_mark(df: DataFrame) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str, source: str) -> dict | None:
-    """Newest state row of a source. The log is append-only, so a crash cannot lose it.
+    """Newest state row of a source: the highest cycle whose folder holds one.
 
-    A row without a mark, from a cycle that found an empty source, is no state.
+    States are only ever added and the newest few are kept, so a crash cannot lose the mark,
+    and a cycle reads one file however long the source has been polled.
     """
-    rows = (
-        spark.read.schema(STATE_SCHEMA)
-        .parquet(path)
-        .filter((F.col("source") == source) & F.col("last_updated_at").isNotNull())
-        .agg(
-            F.max_by(
-                F.struct("*"), F.struct("cycles", "rows_synced", "last_run_at", "last_updated_at", "last_id")
-            ).alias("s")
-        )
-        .select("s.*")
-    ).head()
-    return rows.asDict() if rows and rows["source"] is not None else None
+    at = _states(path, source)
+    for cycle in sorted(map(int, lake.partitions(spark, at, "cycle")), reverse=True):
+        row = spark.read.schema(STATE_SCHEMA).parquet(f"{at}/cycle={cycle}").head()
+        if row is not None:
+            return row.asDict()
+    return None
+
+
+def _states(path: str, source: str) -> str:
+    return f"{path}/source={quote(source, safe='')}"
 
 
 def commit_state(
@@ -142,9 +167,12 @@ def commit_state(
     }
     if mark[0] is None:
         return state  # nothing seen yet, so nothing to resume from
-    spark.createDataFrame([tuple(state.values())], STATE_SCHEMA).coalesce(1).write.mode(
-        "append"
-    ).parquet(path)
+    at = _states(path, source)
+    row = spark.createDataFrame([tuple(state.values())], STATE_SCHEMA)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{at}/cycle={state['cycles']}")
+    for cycle in lake.partitions(spark, at, "cycle"):
+        if int(cycle) <= state["cycles"] - KEPT_STATES:
+            lake.drop_partition(spark, at, f"cycle={cycle}")
     return state
 
 

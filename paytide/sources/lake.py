@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,31 +20,44 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_batch(
-    df: DataFrame, path: str, batch_id: int, by: str = "yyyymm", writer: str = "stream"
+    df: DataFrame, path: str, batch_id: int, by: str | None = "yyyymm", writer: str = "stream"
 ) -> None:
     """Append one batch; replaying the same batch of the same writer replaces only its own files.
 
     Writers number their batches on their own: a stream, a poll and a load can share a table.
+    ``by`` is the partition above the writers, None for a table that has none.
     """
-    (
-        df.withColumn("writer", F.lit(writer))
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(by, "writer", "batch_id")
-        .parquet(path)
-    )
+    write_batches(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path, by, writer)
+
+
+def write_batches(df: DataFrame, path: str, by: str | None = "yyyymm", writer: str = "stream") -> None:
+    """Append the batches that the column ``batch_id`` tells, in one job."""
+    replace_partitions(df.withColumn("writer", F.lit(writer)), path, *([by] if by else []), "writer", "batch_id")
+
+
+def batches(spark: SparkSession, path: str, by: str | None = "yyyymm") -> list[tuple[str, str, int]]:
+    """(part, writer, batch) of a table, from folder names; part is empty where ``by`` is None."""
+    tops = {value: f"{path}/{by}={value}" for value in partitions(spark, path, by)} if by else {"": path}
+    return [
+        (part, writer, int(batch))
+        for part, top in tops.items()
+        for writer in partitions(spark, top, "writer")
+        for batch in partitions(spark, f"{top}/writer={writer}", "batch_id")
+    ]
 
 
-def writers(spark: SparkSession, path: str, by: str = "yyyymm") -> set[str]:
+def drop_batches(spark: SparkSession, path: str, found: list[tuple[str, str, int]], by: str | None = "yyyymm") -> None:
+    """Remove batches as ``batches`` names them; the calls only wait for the file system."""
+    fs, _ = _fs(spark, path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = [f"{path}/{f'{by}={part}/' if by else ''}writer={writer}/batch_id={batch}" for part, writer, batch in found]
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda name: fs.delete(at(name), True), names))
+
+
+def writers(spark: SparkSession, path: str, by: str | None = "yyyymm") -> set[str]:
     """Names of those that have batches in a table (metadata only)."""
-    return {
-        name
-        for value in partitions(spark, path, by)
-        for name in partitions(spark, f"{path}/{by}={value}", "writer")
-        if partitions(spark, f"{path}/{by}={value}/writer={name}", "batch_id")
-    }
+    return {writer for _, writer, _ in batches(spark, path, by)}
 
 
 def replace_range(df: DataFrame, path: str, by: str, values: list) -> None:
@@ -93,6 +108,21 @@ def partitions(spark: SparkSession, path: str, key: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Data files right under a folder (metadata only)."""
+    if not exists(spark, path):
+        return []
+    fs, root = _fs(spark, path)
+    found = [s.getPath() for s in fs.listStatus(root) if s.isFile()]
+    return [f.toString() for f in found if not f.getName().startswith(("_", "."))]
+
+
+def delete_files(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        fs, target = _fs(spark, name)
+        fs.delete(target, False)
+
+
 def drop_partition(spark: SparkSession, path: str, spec: str) -> bool:
     """Remove one partition folder such as ``day=2024-01-03``."""
     fs, target = _fs(spark, f"{path}/{spec}")

@@ -4,29 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paytide.functions.timing import month_key
-from paytide.operators import states
+from paytide.operators import compaction, states, versions
 from paytide.sources import lake
-from paytide.sources.bulk import bulk_load
+from paytide.sources.bulk import Slice, bulk_load
 from paytide.sources.cdc import good_rows, parse_cdc, split_dlq
 from paytide.sources.tables import STORED_SCHEMA
 
 
+LETTERS_SCHEMA = "value STRING, reason STRING, writer STRING, batch_id BIGINT"
+METRICS_SCHEMA = (
+    "rows_read BIGINT, rows_written BIGINT, dead_letters BIGINT, watermark_ms BIGINT, lag_ms BIGINT, "
+    "last_success TIMESTAMP, of_writer STRING, of_batch BIGINT, writer STRING, batch_id BIGINT"
+)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Folders of one analytical mirror, and the name under which this job writes to it.
 
-    Two jobs that number their batches on their own need two names.
+    Two jobs that number their batches on their own need two names. With ``sketches`` the states
+    carry quantile sketches.
     """
 
     root: str
     writer: str = "stream"
+    sketches: bool = False
 
     @property
     def raw(self) -> str:
@@ -61,25 +69,31 @@ def write_raw(batch: DataFrame, batch_id: int, layout: Layout) -> None:
 def update_states(batch: DataFrame, batch_id: int, layout: Layout) -> None:
     """Add this batch's partial states. Every inserted version counts, as with an insert
     trigger; ``states.rebuild_states`` is the repair."""
-    daily = states.daily_states(batch).withColumn("yyyymm", month_key("day"))
-    funnel = states.funnel_states(batch).withColumn("yyyymm", month_key("hour"))
+    daily = states.daily_states(batch, layout.sketches).withColumn("yyyymm", month_key("day"))
+    funnel = states.funnel_states(batch, layout.sketches).withColumn("yyyymm", month_key("hour"))
     lake.write_batch(daily, layout.daily, batch_id, writer=layout.writer)
     lake.write_batch(funnel, layout.funnel, batch_id, writer=layout.writer)
 
 
-def load(tx: DataFrame, layout: Layout, slices: list[tuple[date, date]]) -> None:
-    """Bulk load into a live mirror: versions and states, as batches of the writer ``load``."""
+def load(
+    tx: DataFrame, layout: Layout, slices: list[Slice], resume: bool = False, slices_a_job: int | None = None
+) -> list[Slice]:
+    """Bulk load into a live mirror: versions and states, as batches of the writer ``load``.
+
+    A slice is recorded when all three tables have it; see ``bulk.bulk_load``.
+    """
     own = replace(layout, writer="load")
-    for (start, _), raw in zip(slices, bulk_load(tx, own.raw, slices, own.writer), strict=True):
-        month = start.year * 100 + start.month
-        if raw.limit(1).count():
-            update_states(raw, month, own)
-        else:
-            for path in (own.daily, own.funnel):
-                lake.drop_partition(tx.sparkSession, path, f"yyyymm={month}/writer={own.writer}")
 
+    def daily(raw: DataFrame) -> DataFrame:
+        return states.daily_states(raw, layout.sketches, ("batch_id",)).withColumn("yyyymm", month_key("day"))
 
-def batch_metrics(parsed: DataFrame, batch_id: int) -> DataFrame:
+    def funnel(raw: DataFrame) -> DataFrame:
+        return states.funnel_states(raw, layout.sketches, ("batch_id",)).withColumn("yyyymm", month_key("hour"))
+
+    return bulk_load(tx, own.raw, slices, own.writer, resume, slices_a_job, {own.daily: daily, own.funnel: funnel})
+
+
+def batch_metrics(parsed: DataFrame) -> DataFrame:
     """Rows read, written and refused, the newest version, and the lag behind now."""
     return parsed.agg(
         F.count("*").alias("rows_read"),
@@ -87,7 +101,6 @@ def batch_metrics(parsed: DataFrame, batch_id: int) -> DataFrame:
         F.count_if(F.col("_reason").isNotNull()).alias("dead_letters"),
         F.max(F.when(F.col("_reason").isNull(), F.col("_version"))).alias("watermark_ms"),
     ).select(
-        F.lit(batch_id).cast("long").alias("batch_id"),
         "*",
         (F.unix_millis(F.current_timestamp()) - F.col("watermark_ms")).alias("lag_ms"),
         F.current_timestamp().alias("last_success"),
@@ -103,12 +116,9 @@ def process_cdc(layout: Layout) -> Callable[[DataFrame, int], None]:
             good = good_rows(parsed)
             write_raw(good, batch_id, layout)
             update_states(good, batch_id, layout)
-            lake.replace_partitions(
-                split_dlq(parsed).withColumn("batch_id", F.lit(batch_id).cast("long")),
-                layout.dlq,
-                "batch_id",
-            )
-            lake.replace_partitions(batch_metrics(parsed, batch_id), layout.metrics, "batch_id")
+            lake.write_batch(split_dlq(parsed), layout.dlq, batch_id, None, layout.writer)
+            metrics = batch_metrics(parsed).withColumns({"of_writer": F.lit(layout.writer), "of_batch": F.lit(batch_id).cast("long")})
+            lake.write_batch(metrics, layout.metrics, batch_id, None, layout.writer)
         finally:
             parsed.unpersist()
 
@@ -138,7 +148,8 @@ def start(
     from 0 again, so it must not write under a name that has written before.
     """
     spark = stream.sparkSession
-    if not lake.exists(spark, layout.checkpoint) and layout.writer in lake.writers(spark, layout.raw):
+    known = layout.writer in lake.writers(spark, layout.raw) or compaction.last_merged(spark, layout.raw, layout.writer) >= 0
+    if not lake.exists(spark, layout.checkpoint) and known:
         raise ValueError(f"no checkpoint, but writer {layout.writer!r} has batches: name another writer")
     writer = stream.writeStream.foreachBatch(process).option(
         "checkpointLocation", layout.checkpoint
@@ -148,7 +159,61 @@ def start(
 
 
 def read_raw(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.schema(STORED_SCHEMA).parquet(layout.raw)
+    return compaction.rows(spark, layout.raw, STORED_SCHEMA)
+
+
+def _schema(layout: Layout, schema: str) -> str:
+    return schema if layout.sketches else schema.replace("amount_sketch BINARY, ", "").replace("seconds_sketch BINARY, ", "")
+
+
+def read_daily(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Daily partial states of all batches; ``states.merge_states`` adds them up."""
+    return compaction.rows(spark, layout.daily, _schema(layout, states.DAILY_SCHEMA))
+
+
+def read_funnel(spark: SparkSession, layout: Layout) -> DataFrame:
+    return compaction.rows(spark, layout.funnel, _schema(layout, states.FUNNEL_SCHEMA))
+
+
+def read_letters(spark: SparkSession, layout: Layout) -> DataFrame:
+    return compaction.rows(spark, layout.dlq, LETTERS_SCHEMA, None)
+
+
+def read_metrics(spark: SparkSession, layout: Layout) -> DataFrame:
+    """One row per batch and writer; both names stay in the rows when batches are merged."""
+    return compaction.rows(spark, layout.metrics, METRICS_SCHEMA, None)
+
+
+def compact(spark: SparkSession, layout: Layout, leave: int = 0) -> dict[str, int]:
+    """Merge the batches of every table of the mirror; returns how many of each were replaced.
+
+    Versions come down to one per key, states to one row per key, sketches included; dead letters
+    and metrics are only brought together. Streams, polls and loads may append meanwhile.
+    """
+    def merge(path: str, schema: str, how: Callable[[DataFrame], DataFrame], by: str | None = "yyyymm") -> int:
+        return compaction.compact(spark, path, schema, how, by, leave=leave)
+
+    return {
+        "raw": versions.compact(spark, layout.raw, leave=leave),
+        "daily": merge(layout.daily, _schema(layout, states.DAILY_SCHEMA), states.merge_stored(states.DAILY_KEYS)),
+        "funnel": merge(layout.funnel, _schema(layout, states.FUNNEL_SCHEMA), states.merge_stored(states.FUNNEL_KEYS)),
+        "dlq": merge(layout.dlq, LETTERS_SCHEMA, lambda df: df.coalesce(1), None),
+        "metrics": merge(layout.metrics, METRICS_SCHEMA, lambda df: df.coalesce(1), None),
+    }
+
+
+def compacting(process: Callable[[DataFrame, int], None], layout: Layout, every: int) -> Callable[[DataFrame, int], None]:
+    """``process``, followed by a merge of the mirror after each ``every`` batches.
+
+    A stream that runs for months then keeps at most ``every`` batches of its own unmerged.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        process(batch, batch_id)
+        if batch_id % every == every - 1:
+            compact(batch.sparkSession, layout)
+
+    return run
 
 
 def hourly_counts(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:

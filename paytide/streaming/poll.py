@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytide.functions.timing import interval
-from paytide.session import stored
-from paytide.sources import bulk, increment, lake
-from paytide.sources.tables import STORED_SCHEMA
+from paytide.operators import compaction
+from paytide.session import staged
+from paytide.sources import bulk, increment
+from paytide.streaming import ingest
 from paytide.streaming.ingest import Layout, update_states, write_raw
 
 
@@ -21,45 +22,46 @@ def state_path(layout: Layout) -> str:
 
 def read_target(spark: SparkSession, layout: Layout) -> DataFrame:
     """The mirror, or an empty table before the first cycle."""
-    if not lake.exists(spark, layout.raw):
-        return spark.createDataFrame([], STORED_SCHEMA)
-    return spark.read.schema(STORED_SCHEMA).parquet(layout.raw)
+    return ingest.read_raw(spark, layout)
 
 
-def scan(
+def candidates(
     source: DataFrame,
-    target: DataFrame,
     state: dict | None,
     full: bool,
     batch: int | None = None,
     overlap_seconds: int = 30,
     full_scan_hours: int = 24,
-) -> DataFrame:
-    """Rows one cycle has to write: the resumed increment, and what a second look finds.
+) -> tuple[DataFrame, Column | None]:
+    """Source rows one cycle looks at, ``again`` marking those below the watermark; and since when those changed.
 
     A normal cycle looks again at the seconds below the watermark. A full scan looks again
-    at everything since one interval before the previous full scan, whatever its age. Both
-    keep only versions the target lacks.
+    at everything since one interval before the previous full scan, whatever its age.
     """
+    again = lambda df, flag: df.withColumn("again", F.lit(flag))
     if state is None:
-        return source if batch is None else source.orderBy("updated_at", "id").limit(batch)
+        return again(source if batch is None else source.orderBy("updated_at", "id").limit(batch), False), None
     wm, wm_id = state["last_updated_at"], state["last_id"]
     resumed = increment.read_increment(
         source, wm, wm_id, batch=batch, floor_days=None if full else 7, inclusive=False
     )
-    if not full:
-        again = increment.overlap_window(source, wm, target, overlap_seconds)
-        return increment.union_new(resumed, again)
     since = state["last_full_scan_at"]
-    if since is None:
-        older = source.filter(F.col("updated_at") <= F.lit(wm))
+    if not full:
+        start = increment.overlap_start(wm, overlap_seconds)
+    elif since is None:
         start = F.timestamp_seconds(F.lit(0))
     else:
         start = F.lit(since) - interval(f"{full_scan_hours} hours")
-        older = source.filter((F.col("updated_at") >= start) & (F.col("updated_at") <= F.lit(wm)))
-    have = target.filter(F.col("_version") >= F.unix_millis(start)).select("tx_id", "_version")
-    same = (older["id"] == have["tx_id"]) & (F.unix_millis(older["updated_at"]) == have["_version"])
-    return increment.union_new(resumed, older.join(have, same, "left_anti"))
+    older = source.filter((F.col("updated_at") >= start) & (F.col("updated_at") <= F.lit(wm)))
+    return again(resumed, False).unionByName(again(older, True)), start
+
+
+def new_rows(seen: DataFrame, target: DataFrame, start: Column | None) -> DataFrame:
+    """Of the stored candidates what has to be written: all above the watermark, and below it the versions the target lacks."""
+    above = seen.filter(~F.col("again")).drop("again")
+    if start is None:
+        return above
+    return increment.union_new(above, increment.lacking(seen.filter("again").drop("again"), target, start))
 
 
 def cycle(
@@ -72,39 +74,46 @@ def cycle(
     batch: int | None = None,
     overlap_seconds: int = 30,
     full_scan_hours: int = 24,
+    compact_every: int | None = None,
 ) -> dict:
     """Scan, write versions and states, then advance the watermark; in that order.
 
     The rows are stored once, so what is written, counted and marked is the same set
-    although the source keeps changing. If anything fails before the last step, the next
-    cycle starts from the old watermark and its rewrite is harmless: unless ``batch_id`` is
-    given, batches are numbered by the cycles committed so far.
+    although the source keeps changing; the copies go at the end of the cycle. If anything fails
+    before the last step, the next cycle starts from the old watermark and its rewrite is harmless:
+    unless ``batch_id`` is given, batches are numbered by the cycles committed so far, above what
+    has been merged.
 
     With ``batch``, a cycle takes at most that many rows past the watermark. A full scan is
     committed as one only when it has found fewer: until then every cycle goes on with it, so
     no row falls behind the creation floor. The result tells whether the cycle was ``capped``.
+
+    With ``compact_every`` the mirror is merged after every so many cycles, which bounds its files.
     """
     layout = layout if layout.writer != "stream" else replace(layout, writer="poll")
     marks = state_path(layout)
-    state = increment.read_state(spark, marks, name) if lake.exists(spark, marks) else None
+    state = increment.read_state(spark, marks, name)
     full = increment.full_scan_due(state and state["last_full_scan_at"], now, full_scan_hours)
-    found = scan(
-        source, read_target(spark, layout), state, full, batch, overlap_seconds, full_scan_hours
-    )
-    rows = stored(found, "cycle")
-    capped = False
-    if batch is not None:
-        fresh = rows
-        if state is not None:
-            fresh = rows.filter(increment.after(state["last_updated_at"], state["last_id"], inclusive=False))
-        capped = fresh.count() >= batch
-    number = batch_id if batch_id is not None else (state["cycles"] or 0) if state else 0
-    raw = bulk.to_raw(rows, F.lit(now))
-    write_raw(raw, number, layout)
-    update_states(raw, number, layout)
-    done = increment.commit_state(
-        spark, marks, name, rows, now, full=full and not capped, previous=state
-    )
+    merged = compaction.last_merged(spark, layout.raw, layout.writer)
+    number = batch_id if batch_id is not None else max((state["cycles"] or 0) if state else 0, merged + 1)
+    if number <= merged:
+        raise ValueError(f"batch {number} of {layout.writer!r} is merged already: number above {merged}")
+    looked, start = candidates(source, state, full, batch, overlap_seconds, full_scan_hours)
+    with staged(looked, "candidates") as seen, staged(new_rows(seen, read_target(spark, layout), start), "cycle") as rows:
+        capped = False
+        if batch is not None:
+            fresh = rows
+            if state is not None:
+                fresh = rows.filter(increment.after(state["last_updated_at"], state["last_id"], inclusive=False))
+            capped = fresh.count() >= batch
+        raw = bulk.to_raw(rows, F.lit(now))
+        write_raw(raw, number, layout)
+        update_states(raw, number, layout)
+        done = increment.commit_state(
+            spark, marks, name, rows, now, full=full and not capped, previous=state
+        )
+    if compact_every and done["cycles"] % compact_every == 0:
+        ingest.compact(spark, layout)
     return done | {"capped": capped}
 
 

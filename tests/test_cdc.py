@@ -128,11 +128,11 @@ def test_stream_delivers_versions_letters_states_and_metrics(spark, landed, tmp_
     live = versions.live(raw).collect()
     assert [(r.external_id, r.status) for r in live] == [("u-7", "settled")]
     # the states count every version inserted; rebuilding from resolved versions repairs them
-    daily = spark.read.parquet(layout.daily)
+    daily = ingest.read_daily(spark, layout)
     assert states.merge_states(daily).head().tx_count == 4
     assert states.merge_states(states.rebuild_states(raw)).head().tx_count == 2
-    assert spark.read.parquet(layout.dlq).count() == 1
-    metrics = spark.read.parquet(layout.metrics).orderBy("batch_id").collect()
+    assert ingest.read_letters(spark, layout).count() == 1
+    metrics = ingest.read_metrics(spark, layout).orderBy("of_batch").collect()
     assert [(m.rows_read, m.rows_written, m.dead_letters) for m in metrics] == [(3, 2, 1), (2, 2, 0)]
 
 
@@ -144,8 +144,8 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
         run(batch, batch_id)
     assert ingest.read_raw(spark, layout).count() == 2
     assert versions.final(ingest.read_raw(spark, layout)).count() == 1
-    assert spark.read.parquet(layout.dlq).count() == 2
-    assert states.merge_states(spark.read.parquet(layout.daily)).head().tx_count == 2
+    assert ingest.read_letters(spark, layout).count() == 2
+    assert states.merge_states(ingest.read_daily(spark, layout)).head().tx_count == 2
 
 
 def test_a_failed_batch_is_read_again(spark, landed, tmp_path):
