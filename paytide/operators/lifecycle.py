@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,42 @@ def droppable(parts: DataFrame, covered_until: list[Column], anchor: Instant, ag
     return old.withColumn("can_drop", covered >= F.col("range_end"))
 
 
+def verified_drop(
+    spark: SparkSession, path: str, key: str, values: list, covered: Callable[[DataFrame], DataFrame], schema: str
+) -> dict[str, bool]:
+    """Drop partitions in two phases: move aside, compare, then delete or put back.
+
+    ``covered`` gets the rows of one partition, already out of every reader's sight, and returns
+    one row whose ``covered`` tells whether what must outlive them (an aggregate, say) still answers for
+    them. A partition it does not approve, or whose check fails, is where it was before; one that a
+    crash left aside is put back by the next call. Returns what was dropped.
+    """
+    aside, done = f"{path}/_aside", {}
+    lake.put_back(spark, path, aside)
+    for value in map(str, values):
+        spec = f"{key}={value}"
+        if not lake.exists(spark, f"{path}/{spec}"):
+            continue
+        lake.move(spark, f"{path}/{spec}", f"{aside}/{spec}")
+        done[value] = False
+        try:
+            rows = spark.read.schema(schema).option("basePath", aside).parquet(f"{aside}/{spec}")
+            done[value] = bool(covered(rows).head()["covered"])
+        finally:
+            if done[value]:
+                lake.drop_partition(spark, aside, spec)
+            else:
+                lake.move(spark, f"{aside}/{spec}", f"{path}/{spec}")
+    return done
+
+
+def same_totals(rows: DataFrame, aggregate: DataFrame, n: str, total: str, amount: str = "amount") -> DataFrame:
+    """One row: does the aggregate hold as many rows, and the same amount, as the rows themselves?"""
+    a = rows.agg(F.count("*").alias("n"), F.sum(amount).cast("decimal(38,2)").alias("t"))
+    b = aggregate.agg(F.coalesce(F.sum(n), F.lit(0)).alias("m"), F.sum(total).cast("decimal(38,2)").alias("u"))
+    return a.select(((F.col("n") == b.select("m").scalar()) & F.col("t").eqNullSafe(b.select("u").scalar())).alias("covered"))
+
+
 def recluster(df: DataFrame, path: str, older_than: Column | None = None, files: int = 64) -> None:
     """Rewrite in the order readers filter by, with a stronger codec.
 

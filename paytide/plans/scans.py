@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import functions as F
 
-from paytide.functions.position import page_of, with_position
 from paytide.functions.timing import interval
-from paytide.operators import aggregates
+from paytide.operators import aggregates, compaction
 from paytide.plans.oracle import sql
 from paytide.plans.registry import query
 from paytide.plans.views import Views
+from paytide.session import workspace
 from paytide.sources import bulk, cdc, increment, reference
+from paytide.sources.tables import STORED_SCHEMA
+from paytide.streaming import ingest, poll
 
 
 @query(
@@ -24,7 +28,10 @@ from paytide.sources import bulk, cdc, increment, reference
     ),
 )
 def bulk_load_months(v: Views):
-    return bulk.to_raw(v.tx).groupBy("yyyymm").agg(
+    """All months in one job, read back from the table."""
+    path = workspace(v.spark, "months")
+    bulk.bulk_load(v.tx, path, bulk.month_slices(date(2024, 1, 1), date(2024, 3, 1)))
+    return compaction.rows(v.spark, path, STORED_SCHEMA).groupBy("yyyymm").agg(
         F.count("*").alias("n_rows"),
         F.sum("amount").alias("total"),
         F.max("_version").alias("max_version"),
@@ -145,8 +152,10 @@ def late_rows_captured(v: Views):
     overlapped = _overlap(v).select("id", F.lit("overlap").alias("net"))
     visible = v.visible_at(tx)
     below = tx.filter(F.col("updated_at") <= wm)
-    written = below.filter(visible <= wm).select("id", F.lit("already written").alias("net"))
-    late = below.filter(visible > wm).select("id")
+    landed = below.filter(visible <= wm)
+    written = landed.select("id", F.lit("already written").alias("net"))
+    # the full scan asks the target about everything below the watermark
+    late = increment.lacking(below, bulk.to_raw(landed), F.timestamp_seconds(F.lit(0))).select("id")
     swept = late.join(overlapped.select("id"), "id", "left_anti").select(
         "id", F.lit("full scan").alias("net")
     )
@@ -175,22 +184,24 @@ def watermark_advance(v: Views):
     "burst_resume_pages",
     sql(
         "tx",
-        """numbered AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS p FROM tx)
-        SELECT CAST(p // 2500 AS BIGINT) AS page, count(*) AS n_rows, min(id) AS first_id,
+        """numbered AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS p, count(*) OVER () AS n FROM tx)
+        SELECT CAST(p // ((n + 3) // 4) AS BIGINT) AS page, count(*) AS n_rows, min(id) AS first_id,
                max(id) AS last_id
         FROM numbered GROUP BY 1""",
     ),
 )
 def burst_resume_pages(v: Views):
-    """The whole table as one burst sharing a change time, cut into exact pages by pair.
+    """The whole table as one burst sharing a change time, polled in capped cycles: a quarter each.
 
-    Every page begins right after the pair the previous one ended on, as repeated
-    incremental scans would find them, but in one pass.
+    Every cycle resumes right after the pair the previous one ended on; its batch in the mirror is the page.
     """
-    burst = v.tx.select("id", v.as_of.alias("updated_at"))
-    paged = with_position(burst, ["updated_at", "id"])
-    return paged.groupBy(page_of(F.col("position"), 2500).alias("page")).agg(
-        F.count("*").alias("n_rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
+    at = datetime(2024, 1, 31)
+    burst = v.tx.withColumn("updated_at", F.lit(at))
+    layout = ingest.Layout(workspace(v.spark, "burst"))
+    poll.drain(v.spark, burst, layout, at, batch=-(-v.tx.count() // 4))
+    pages = ingest.read_raw(v.spark, layout)
+    return pages.groupBy(F.col("batch_id").alias("page")).agg(
+        F.count("*").alias("n_rows"), F.min("tx_id").alias("first_id"), F.max("tx_id").alias("last_id")
     )
 
 

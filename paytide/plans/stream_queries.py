@@ -64,10 +64,22 @@ def stream_dead_letters(v: Views):
     return letters.groupBy("reason").agg(F.count("*").alias("n_rows"))
 
 
-@query("stream_batch_metrics")
+@query(
+    "stream_batch_metrics",
+    sql(
+        "tx",
+        f"""m AS (SELECT {DAMAGE} AS reason FROM tx)
+        SELECT 'stream' AS writer, CAST(0 AS BIGINT) AS batch, count(*) AS rows_read,
+          count(*) FILTER (WHERE reason IS NULL) AS rows_written, count(*) FILTER (WHERE reason IS NOT NULL) AS dead_letters,
+          true AS behind_now FROM m""",
+    ),
+)
 def stream_batch_metrics(v: Views):
+    """Rows read, written and refused of each batch, and whether the newest version lies behind now."""
     layout = _run(v, change_events(transactions(_events(v))), ingest.process_cdc)
-    return ingest.read_metrics(v.spark, layout)
+    return ingest.read_metrics(v.spark, layout).select(
+        F.col("of_writer").alias("writer"), F.col("of_batch").alias("batch"), "rows_read", "rows_written", "dead_letters", (F.col("lag_ms") > 0).alias("behind_now")
+    )
 
 
 @query(

@@ -108,6 +108,31 @@ def partitions(spark: SparkSession, path: str, key: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; raises where the file system refuses."""
+    fs, a = _fs(spark, source)
+    _, b = _fs(spark, target)
+    fs.mkdirs(b.getParent())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise RuntimeError(f"cannot move {source} to {target}")
+
+
+def put_back(spark: SparkSession, path: str, aside: str) -> None:
+    """Return the partitions a drop left aside; what has come back meanwhile wins over them."""
+    if not exists(spark, aside):
+        return
+    fs, root = _fs(spark, aside)
+    for name in [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]:
+        if not exists(spark, f"{path}/{name}"):
+            move(spark, f"{aside}/{name}", f"{path}/{name}")
+
+
+def touch(spark: SparkSession, name: str) -> None:
+    """An empty file, which appears at once."""
+    fs, target = _fs(spark, name)
+    fs.create(target, True).close()
+
+
 def files(spark: SparkSession, path: str) -> list[str]:
     """Data files right under a folder (metadata only)."""
     if not exists(spark, path):

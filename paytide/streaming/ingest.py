@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paytide.functions.timing import month_key
-from paytide.operators import compaction, states, versions
+from paytide.operators import compaction, invalidation, states, versions
 from paytide.sources import lake
 from paytide.sources.bulk import Slice, bulk_load
 from paytide.sources.cdc import good_rows, parse_cdc, split_dlq
@@ -202,6 +202,51 @@ def compact(spark: SparkSession, layout: Layout, leave: int = 0) -> dict[str, in
     }
 
 
+def purge(spark: SparkSession, layout: Layout, gone: Column) -> list[int]:
+    """Erase the rows ``gone`` marks from the mirror, and repair the states they were counted in.
+
+    States do not carry an account, so they cannot be filtered: the buckets the rows lay in are
+    logged first, then the rows leave the versioned table, and exactly these buckets are built
+    anew from what is left, resolved. Each table changes in one commit. A purge that died is
+    finished by ``repair`` or by the next one. Returns the months rewritten.
+    """
+    hit = F.coalesce(gone, F.lit(False))
+    log = f"{layout.root}/touched_buckets"
+    number = 1 + max([b for _, w, b in lake.batches(spark, log) if w == "purge"], default=-1)
+    invalidation.log_touched(invalidation.touched(read_raw(spark, layout).filter(hit), "hour"), log, number, "purge")
+    logged, _ = invalidation.pending(spark, log)
+    if logged is None:
+        return []
+    months = sorted(r.yyyymm for r in logged.select("yyyymm").distinct().collect())
+    compaction.compact(spark, layout.raw, STORED_SCHEMA, lambda df: versions.final(df.filter(~hit)), parts=months, again=True)
+    return repair(spark, layout)
+
+
+def repair(spark: SparkSession, layout: Layout) -> list[int]:
+    """Build the states of all logged buckets anew from the resolved rows; returns the months rewritten."""
+    log = f"{layout.root}/touched_buckets"
+    logged, taken = invalidation.pending(spark, log)
+    if logged is None:
+        return []
+    months = sorted(r.yyyymm for r in logged.select("yyyymm").distinct().collect())
+    kinds = (
+        (layout.daily, states.DAILY_SCHEMA, states.DAILY_KEYS, states.daily_states, "day"),
+        (layout.funnel, states.FUNNEL_SCHEMA, states.FUNNEL_KEYS, states.funnel_states, "hour"),
+    )
+    for path, schema, keys, build, unit in kinds:
+        found = invalidation.spans(logged, unit)
+        left = read_raw(spark, layout).filter(F.col("yyyymm").isin(months) & invalidation.inside(F.col("created_at"), found))
+        fresh = build(versions.final(left), layout.sketches).withColumn("yyyymm", month_key(unit))
+
+        def merge(stored: DataFrame, fresh=fresh, keys=keys, unit=unit, found=found) -> DataFrame:
+            kept = stored.filter(~invalidation.inside(F.col(unit).cast("timestamp"), found))
+            return states.merge_stored(keys)(kept.unionByName(fresh.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema.fields])))
+
+        compaction.compact(spark, path, _schema(layout, schema), merge, parts=months, again=True)
+    lake.drop_batches(spark, log, taken)
+    return months
+
+
 def compacting(process: Callable[[DataFrame, int], None], layout: Layout, every: int) -> Callable[[DataFrame, int], None]:
     """``process``, followed by a merge of the mirror after each ``every`` batches.
 

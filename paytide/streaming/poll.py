@@ -52,7 +52,12 @@ def candidates(
         start = F.timestamp_seconds(F.lit(0))
     else:
         start = F.lit(since) - interval(f"{full_scan_hours} hours")
-    older = source.filter((F.col("updated_at") >= start) & (F.col("updated_at") <= F.lit(wm)))
+    # what the resumed scan reaches, in this cycle or a later one, is not looked at again: of a burst
+    # that shares one change time each cycle takes its share
+    reached = increment.after(wm, wm_id, inclusive=False)
+    if not full:
+        reached = reached & (F.col("created_at") >= F.lit(wm) - interval("7 days"))
+    older = source.filter((F.col("updated_at") >= start) & (F.col("updated_at") <= F.lit(wm)) & ~reached)
     return again(resumed, False).unionByName(again(older, True)), start
 
 
