@@ -3,8 +3,8 @@
 Targets share the whole budget by weight, none above ``repeat`` times its source. The budget
 is cut into seats of ``block`` words, which go to sources by the highest quotients
 target/(2j+1). A source's documents, in seeded order, form one stream of words cut into
-blocks; its seats are full passes over that stream and, for the rest, an integer quota for
-each of ``shards`` stretches of it. Within a stretch a seeded start picks the blocks. A
+blocks; the words of its seats are full passes over that stream and, for the rest, an integer
+quota of blocks for each of ``shards`` stretches of it. A source at its cap is all full passes. Within a stretch a seeded start picks the blocks. A
 document's words in chosen blocks are what the mix takes from it.
 """
 
@@ -128,23 +128,28 @@ def mix(
         F.col("source").alias("_source"),
         F.col("source_size"),
         F.col("target"),
-        F.expr(f"(source_size + {block - 1}) div {block}").alias("_n"),
-        F.col("seats"),
         F.col("_rank"),
-    ).withColumn("_q", F.least("seats", F.col("_n") * repeat))
+        # a source at its cap is taken whole that many times; another one gets the words of its seats
+        F.expr(f"IF(target >= {repeat} * source_size, {repeat} * source_size, least(seats * {block}, {repeat} * source_size))").alias("_words"),
+    ).filter("source_size > 0")
+    quotas = quotas.withColumns({"_n": F.expr(f"source_size div {block}"), "_full": F.expr("_words div source_size"), "_left": F.expr("_words % source_size")})
+    # what is left comes from whole blocks, a last short one aside, unless one more pass is nearer to it
+    quotas = quotas.withColumn("_rest", F.expr(f"least(_n, (_left + {block // 2}) div {block})"))
+    more = F.expr(f"_full < {repeat} AND source_size - _left < abs(_left - _rest * {block})")
     quotas = quotas.select(
         "_source",
         "source_size",
         "target",
         "_n",
-        F.expr("CASE WHEN _n > 0 THEN _q div _n ELSE 0 END").alias("_full"),
-        F.expr("CASE WHEN _n > 0 THEN _q % _n ELSE 0 END").alias("_rest"),
+        (F.col("_full") + more.cast("long")).alias("_full"),
+        F.when(more, 0).otherwise(F.col("_rest")).alias("_rest"),
         F.expr(f"{key_number(seed, 'start')} + _rank * 7919").alias("_seed"),
     )
     keyed = rows.withColumn("_key", F.xxhash64(F.lit(key_number(seed, "order")), *order))
     laid = laid_out(keyed, "source", ["_key", *order], "size", "_at")
     # per shard p: blocks from p*n/shards on, and its quota of the rest in proportion
-    joined = laid.join(quotas, F.col("source").eqNullSafe(F.col("_source")))
+    empty = shared.filter("source_size = 0").select(F.col("source").alias("_source"), "source_size", "target", *[F.lit(0).cast("long").alias(c) for c in ("_n", "_full", "_rest", "_seed")])
+    joined = laid.join(quotas.unionByName(empty), F.col("source").eqNullSafe(F.col("_source")))
     p = f"((b * {shards}) div _n)"
     first = f"((({{p}}) * _n + {shards - 1}) div {shards})".format
     c0, c1 = first(p=p), first(p=f"{p} + 1")
@@ -153,7 +158,7 @@ def mix(
     chosen = f"(((b - {c0} + {start}) % ({c1} - {c0})) < {quota})"
     words = f"(least((b + 1) * {block}, _at + size) - greatest(b * {block}, _at))"
     blocks = f"sequence(_at div {block}, (_at + size - 1) div {block})"
-    partly = f"aggregate({blocks}, 0L, (sum, b) -> sum + CASE WHEN {chosen} THEN {words} ELSE 0L END)"
+    partly = f"aggregate({blocks}, 0L, (sum, b) -> sum + CASE WHEN b < _n AND {chosen} THEN {words} ELSE 0L END)"
     taken = f"CASE WHEN size <= 0 THEN 0L WHEN _rest = 0 THEN _full * size ELSE _full * size + {partly} END"
     return joined.select(*[f"`{c}`" for c in columns], "source_size", "target", F.expr(taken).alias("taken"))
 
