@@ -160,7 +160,7 @@ def test_languages_of_held_out_rows(spark):
 def test_texts_without_a_language(spark):
     models = {"en": b"the of and ing " * 1000, "fr": b"eau que de la " * 1000}
     long = "the and of " * 20000
-    docs = spark.createDataFrame([(1, None), (2, ""), (3, "12 .,!"), (4, long), (5, "THE OF 1 AND")], DOC).selectExpr("*", "9 AS score")
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "12 .,! ½ ²₃ Ⅳ"), (4, long), (5, "THE OF 1 AND")], DOC).selectExpr("*", "9 AS score")
     got = {r.doc_id: r for r in langid.classify(docs, models).collect()}
     assert [got[i].lang_pred for i in range(1, 6)] == ["und", "und", "und", "en", "en"]
     assert not got[1].accepted and got[1].score == 0 and got[4].accepted
