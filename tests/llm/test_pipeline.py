@@ -64,3 +64,12 @@ def test_stages_take_odd_tables(spark):
             assert out.columns == docs.columns and out.count() >= least
         assert corpus_pipeline.STAGES[4][1](spark, frame, SF).count() == frame.count()
     assert corpus_pipeline.drop_near_copies(spark, docs, SF).filter("doc_id = 1").count() == 1
+
+
+def test_an_id_of_two_texts_loses_neither(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    rows = [(5, x), (9, x), (3, y), (5, y), (7, z), (7, z), (7, None), (None, x), (None, x)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").selectExpr("*", "1 AS number", "2 AS digest", "3 AS doc")
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text or "") for r in got.collect()) == sorted([(5, x), (3, y), (7, z), (7, ""), (0, x), (0, x)])
