@@ -26,6 +26,8 @@ SEPARATOR = r"[^\p{L}\p{M}\p{N}⟨·]+"
 UNITS = "mm|cm|km|m|mg|kg|g|ml|l|ms|s|sec|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|ft|inch(?:es)?|lbs?|oz|usd|eur|dollars?|euros?|percent|mph|kmh|hz|khz|mhz|gb|mb|kb|tb"
 #: Windows of the benchmark that a task may hold; a larger benchmark is joined by a shuffle.
 BROADCAST_WINDOWS = 1 << 18
+#: Names (16 bytes) of documents that a task may hold; more of them meet the texts by a shuffle.
+BROADCAST_NAMES = 1 << 20
 
 
 def marked(text: Column) -> Column:
@@ -134,19 +136,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, size
     spread = windows(words.select(*doc, *[keys(F.col("words"), kind).alias(kind) for kind in sorted({kind for kind, _ in forms})]), doc, forms)
     # first which windows occur at all, then which items they belong to: few rows are left by then
     hits = stored(spread.join(wanted, "window", "left_semi").distinct(), "hits")
+    matched = stored(hits.join(listed, "window").select(*match, "size", "span", "item_at", "at"), "matched")
+    # no diagonal can have more windows of an item than the whole document: most chance matches end here
+    enough = F.col("size") - 1 + F.lit(share) * F.col("item_windows")
+    possible = matched.groupBy(*match, "size").agg(F.countDistinct("item_at").alias("_n")).join(totals, ["item_id", "kind"])
+    possible = possible.filter(F.col("_n") * F.col("size") >= enough).select(*match, "size")
+    matched = stored(matched.join(possible, [*match, "size"]), "possible")
     # a diagonal by itself, and in both bands of two spans that hold it
     shift = F.col("at") - F.col("item_at")
     band = F.floor(shift / F.col("span")).cast("int")
     groups = F.array(*[F.struct(w.alias("width"), b.alias("band")) for w, b in ((F.lit(0), shift), (F.col("span"), band), (F.col("span"), band - 1))])
-    spots = hits.join(listed, "window").select(*match, "size", "item_at", "at", F.explode(groups).alias("_g")).select(*match, "size", "item_at", "at", "_g.*")
+    spots = matched.select(*match, "size", "item_at", "at", F.explode(groups).alias("_g")).select(*match, "size", "item_at", "at", "_g.*")
     group = [*match, "size", "width", "band"]
-    enough = F.col("size") - 1 + F.lit(share) * F.col("item_windows")
-    likely = spots.groupBy(*group).agg(F.countDistinct("item_at").alias("n_windows")).join(totals, ["item_id", "kind"])
-    likely = stored(likely.filter(F.col("n_windows") * F.col("size") >= enough), "likely")
-    places = spots.join(likely.select(*group), group).withColumn("i", F.explode(F.expr("sequence(0, size - 1)")))
-    places = stored(places.select(*group, (F.col("item_at") + F.col("i")).alias("ours"), (F.col("at") + F.col("i")).alias("theirs")).distinct(), "places")
-    covered = places.groupBy(*group).agg(F.countDistinct("ours").alias("covered"))
-    held = stored(likely.join(covered, group).filter(F.col("covered") >= enough).withColumn("share", F.col("n_windows") / F.col("item_windows")), "held")
+    # the places of an item that one group has, as many as the item has windows: a window covers its words up to the next one's
+    held = spots.groupBy(*group).agg(F.array_sort(F.collect_set("item_at")).alias("_ats")).join(totals, ["item_id", "kind"])
+    covers = F.expr("size + aggregate(sequence(1, greatest(size(_ats) - 1, 1)), 0, (sum, i) -> sum + IF(i < size(_ats), least(size, _ats[i] - _ats[i - 1]), 0))")
+    held = held.select(*group, "item_windows", F.size("_ats").alias("n_windows"), covers.alias("covered"))
+    held = held.filter((F.col("n_windows") * F.col("size") >= enough) & (F.col("covered") >= enough))
+    held = stored(held.withColumn("share", F.col("n_windows") / F.col("item_windows")), "held")
+    places = spots.join(held.select(*group), group).withColumn("i", F.explode(F.expr("sequence(0, size - 1)")))
+    places = places.select(*group, (F.col("item_at") + F.col("i")).alias("ours"), (F.col("at") + F.col("i")).alias("theirs")).distinct()
     judged = _judged(texts, items, held, places, group)
     broken = judged.filter("NOT consistent AND kind = 'typed' AND width = 0").groupBy(*doc, "item_id").agg(F.max("share").alias("_broken"))
     kept = judged.filter("consistent").join(broken, [*doc, "item_id"], "left").filter("kind = 'typed' OR _broken IS NULL OR share >= _broken")
@@ -188,10 +197,13 @@ def _judged(texts: DataFrame, items: DataFrame, held: DataFrame, places: DataFra
 
     ours = items.select(*slots(F.col("mark"), "item_id")).select("item_id", "_k.kind", F.posexplode("_k.values").alias("ours", "value"))
     doc = ["doc_id", "digest"]
-    copies = texts.join(held.select(*doc).distinct(), doc).groupBy(*doc).agg(F.first("text").alias("text"))
+    named = stored(held.select(*doc).distinct(), "named")
+    # few enough of them come to the texts; otherwise both move
+    named = F.broadcast(named) if named.count() <= BROADCAST_NAMES else named
+    copies = texts.join(named, doc).groupBy(*doc).agg(F.first("text").alias("text"))
     marks = stored(copies.select(*doc, marked(F.col("text")).alias("mark")), "marks")
     theirs = marks.select(*slots(F.col("mark"), *doc)).select(*doc, "_k.kind", F.posexplode("_k.values").alias("theirs", "copy"))
-    filled = places.join(held.select(*group), group).join(ours.filter("value IS NOT NULL"), ["item_id", "kind", "ours"])
+    filled = places.join(ours.filter("value IS NOT NULL"), ["item_id", "kind", "ours"])
     filled = filled.join(theirs.filter("copy IS NOT NULL"), [*doc, "kind", "theirs"])
     pairs = filled.groupBy(*group, "value").agg(F.countDistinct("copy").alias("copies"), F.max(F.col("copy") != F.col("value")).alias("differs"))
     verdict = pairs.groupBy(*group).agg((F.max("copies") == 1).alias("consistent"), F.max("differs").alias("reworded"))
