@@ -36,11 +36,13 @@ def marked(text: Column) -> Column:
     n is a number, u a unit, p a name inside a sentence, r a further word of that name, c another
     capitalised word, s a name right after that.
     """
-    joined = F.regexp_replace(F.translate(text, "⟨", " "), r"(?<=[0-9])[.,](?=[0-9])", "·")
+    plain = F.replace(text, F.lit("⟨"), F.lit(" "))
+    joined = F.regexp_replace(plain, r"([0-9])[.,](?=[0-9])", "$1·")
+    # what does not begin like a match is told by its first character, ahead of any look behind
     numbers = F.regexp_replace(joined, r"[0-9]++(?:·[0-9]++)*+", " ⟨n$0 ")
-    units = F.regexp_replace(numbers, rf"(?i)(⟨n[0-9·]++ {{1,3}})({UNITS})(?![\p{{L}}\p{{N}}])", "$1⟨u$2")
-    names = F.regexp_replace(units, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}++)", "⟨p$1")
-    first = F.regexp_replace(names, r"(?<![\p{L}\p{M}\p{N}·⟨])(\p{Lu}\p{Ll}++)", "⟨c$1")
+    units = F.regexp_replace(numbers, rf"⟨n(?i:([0-9·]++ {{1,3}})({UNITS})(?![\p{{L}}\p{{N}}]))", "⟨n$1⟨u$2")
+    names = F.regexp_replace(units, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}++)", "⟨p$1")
+    first = F.regexp_replace(names, r"(?=\p{Lu})(?<![\p{L}\p{M}\p{N}·⟨])(\p{Lu}\p{Ll}++)", "⟨c$1")
     further = F.regexp_replace(first, r"⟨p(?<=⟨p[\p{L}\p{M}]{1,40} ⟨p)", "⟨r")
     return F.regexp_replace(further, r"⟨p(?<=⟨c[\p{L}\p{M}]{1,40} ⟨p)", "⟨s")
 
