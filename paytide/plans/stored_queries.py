@@ -240,9 +240,10 @@ def stream_tumbling_hourly(v: Views):
         some = rows.filter((F.col("arrived") >= F.lit(a)) & (F.col("arrived") < F.lit(b)))
         some.repartitionByRange(2, "arrived").write.mode("append").parquet(source)
     stream = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    for started in windows.start(stream, layout, "arrived", "6 hours"):
+    counting, late = windows.start(stream, layout, "arrived", "6 hours")
+    for started in (counting, late):
         started.awaitTermination()
-    windows.refresh_late(v.spark, layout, rows)
+    windows.refresh_late(v.spark, layout, rows, windows.closed_until(counting))
     return windows.read(v.spark, layout).drop("yyyymm")
 
 

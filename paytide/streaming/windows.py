@@ -71,23 +71,35 @@ def read(spark: SparkSession, layout: Layout) -> DataFrame:
     return compaction.rows(spark, path(layout), SCHEMA).drop("writer", "batch_id")
 
 
-def refresh_late(spark: SparkSession, layout: Layout, rows: DataFrame) -> int:
+def closed_until(query: StreamingQuery) -> Column | None:
+    """The watermark of the stream's last batch: hours that end by then have been written."""
+    report = query.lastProgress
+    mark = report["eventTime"].get("watermark") if report else None
+    return F.lit(mark).cast("timestamp") if mark else None
+
+
+def refresh_late(spark: SparkSession, layout: Layout, rows: DataFrame, until: Column | None = None) -> int:
     """Build the logged hours anew from all rows; returns how many ranges.
 
-    Hours that the stream has not closed yet stay logged: it will still write them.
+    Hours that the stream has not closed yet stay logged: it will still write them. Closed are those
+    that end by ``until`` (see ``closed_until``); without it, those up to the newest one written.
     """
     log, taken = invalidation.pending(spark, late_log(layout))
-    last = read(spark, layout).agg(F.max("bucket")).head()[0] if lake.exists(spark, path(layout)) else None
-    if log is None or last is None:
+    if log is None:
         return 0
+    if until is None:
+        last = read(spark, layout).agg(F.max("bucket")).head()[0] if lake.exists(spark, path(layout)) else None
+        if last is None:
+            return 0
+        until = F.lit(last) + interval("1 hour")
+    over = F.col("bucket") + interval("1 hour") <= until
     number = 1 + max(batch for _, _, batch in taken)
-    invalidation.log_touched(log.filter(F.col("bucket") > F.lit(last)).drop("writer", "batch_id"), late_log(layout), number, "open")
-    ready = log.filter(F.col("bucket") <= F.lit(last))
+    invalidation.log_touched(log.filter(~over).drop("writer", "batch_id"), late_log(layout), number, "open")
+    ready = log.filter(over)
     found = invalidation.spans(ready, "hour")
     if found:
         months = sorted(r.yyyymm for r in ready.select("yyyymm").distinct().collect())
-        whole = invalidation.inside(F.col("created_at"), found) & (F.col("created_at") < F.lit(last) + interval("1 hour"))
-        fresh = aggregates.volume_hourly(rows.filter(whole)).withColumn("yyyymm", month_key("bucket"))
+        fresh = aggregates.volume_hourly(rows.filter(invalidation.inside(F.col("created_at"), found))).withColumn("yyyymm", month_key("bucket"))
 
         def merge(stored: DataFrame) -> DataFrame:
             kept = stored.filter(~invalidation.inside(F.col("bucket"), found))
