@@ -73,31 +73,54 @@ def _log_odds(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def _solve(x: list[np.ndarray], extra: np.ndarray, y: np.ndarray, n: int, weight: np.ndarray, rounds: int = 25, ridge: float = 0.3):
-    """Ridge logistic regression on weighted 0/1 rows and extra columns by Newton steps with halving."""
-    full = np.zeros((len(x), n + extra.shape[1] + 1), dtype=np.float32)
-    full[np.repeat(np.arange(len(x)), [len(i) for i in x]), np.concatenate([*x, np.zeros(0, dtype=np.int64)]).astype(np.int64)] = 1
+def _blocks(n: int, size: int = 4096) -> Iterator[slice]:
+    return (slice(at, min(at + size, n)) for at in range(0, n, size))
+
+
+def _matrix(row: np.ndarray, own: np.ndarray, n: int, extra: np.ndarray) -> np.ndarray:
+    """A row of 0/1 for each text at its own features, the extra columns and a constant one."""
+    full = np.zeros((len(extra), n + extra.shape[1] + 1), dtype=np.float32)
+    full[row, own] = 1
     full[:, n:-1], full[:, -1] = extra, 1
+    return full
+
+
+def _times(full: np.ndarray, use: np.ndarray, w: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(use))
+    for part in _blocks(len(use)):
+        out[part] = full[use[part]].astype(float) @ w
+    return out
+
+
+def _solve(full: np.ndarray, use: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 25, ridge: float = 0.3) -> np.ndarray:
+    """Ridge logistic regression on the weighted 0/1 rows ``use`` by Newton steps with halving.
+
+    Rows are widened to doubles a block at a time, so that little more than the matrix is held.
+    """
     penalty = np.full(full.shape[1], ridge)
     penalty[-1] = 1e-3
 
-    def loss(w: np.ndarray) -> float:
-        z = full @ w
+    def loss(w: np.ndarray, z: np.ndarray) -> float:
         return float(weight @ np.logaddexp(0, z) - (weight * y) @ z + 0.5 * penalty @ w**2)
 
-    w = np.zeros(full.shape[1])
-    now = loss(w)
+    w, z = np.zeros(full.shape[1]), np.zeros(len(use))
+    now = loss(w, z)
     for _ in range(rounds):
-        p = _sigmoid(full @ w)
-        gradient = full.T @ (weight * (p - y)) + penalty * w
-        curvature = (full * (weight * np.maximum(p * (1 - p), 1e-6))[:, None].astype(np.float32)).T @ full + np.diag(penalty)
+        p = _sigmoid(z)
+        steep, bend = weight * (p - y), weight * np.maximum(p * (1 - p), 1e-6)
+        gradient, curvature = penalty * w, np.diag(penalty)
+        for part in _blocks(len(use)):
+            x = full[use[part]].astype(float)
+            gradient += x.T @ steep[part]
+            curvature += x.T @ (x * bend[part, None])
         step, size = np.linalg.solve(curvature, gradient), 1.0
-        while (new := loss(w - size * step)) > now and size > 1e-4:
+        along = _times(full, use, step)
+        while (new := loss(w - size * step, z - size * along)) > now and size > 1e-4:
             size /= 2
         if now - new < 1e-6 * abs(now):
             break
-        w, now = w - size * step, new
-    return w[:n], w[n:-1], w[-1]
+        w, z, now = w - size * step, z - size * along, new
+    return w
 
 
 def _table(labelled: DataFrame, names: list[str]) -> dict[str, np.ndarray]:
@@ -187,30 +210,36 @@ def fit(labelled: DataFrame, names: list[str], most_features: int = 256, least:
             )
 
     schema = "h long, " + ", ".join(f"`{c}` int" for c in names) + ", weight double, found array<int>"
-    sample = keyed.select("text", "_h", *names, "weight").mapInArrow(describe, schema).toArrow().to_pydict()
-    order = sorted(range(len(sample["h"])), key=lambda i: (sample["h"][i], sample["found"][i]))
-    x = [np.array(sample["found"][i], dtype=np.int64) for i in order]
-    fold = np.array([(sample["h"][i] >> 7) % FOLDS for i in order], dtype=np.int64)  # copies share a fold
-    weight = np.array([sample["weight"][i] for i in order])
-    earlier = np.zeros((len(x), 0))
+    sample = keyed.select("text", "_h", *names, "weight").mapInArrow(describe, schema).toArrow()
+    h, weight = sample.column("h").to_numpy(), sample.column("weight").to_numpy()
+    order = np.argsort(h, kind="stable")  # rows of one hash are copies, labels included
+    place = np.empty(len(order), dtype=np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    found = sample.column("found").combine_chunks()
+    row = np.repeat(place, found.value_lengths().to_numpy())
+    found = found.flatten().to_numpy()
+    labels = {c: sample.column(c).fill_null(-1).to_numpy()[order] for c in names}
+    del sample
+    h, weight = h[order], weight[order]
+    fold = (h >> 7) % FOLDS  # copies share a fold
+    earlier = np.zeros((len(h), 0))
     chain = []
     for name in names:
-        label = np.array([-1 if sample[name][i] is None else sample[name][i] for i in order])
-        place = np.full(len(union), -1)
-        place[np.searchsorted(union, wanted[name])] = np.arange(len(wanted[name]))
-        own = [place[i][place[i] >= 0] for i in x]
+        label, n = labels[name], len(wanted[name])
+        own = np.full(len(union), -1, dtype=np.int32)
+        own[np.searchsorted(union, wanted[name])] = np.arange(n)
+        has = own[found] >= 0
+        full = _matrix(row[has], own[found[has]], n, earlier)
         known = np.isin(label, (0, 1))
-        rate = (rows[name][1] + 0.5) / (rows[name].sum() + 1) if rows[name].sum() else 0.0
-        held = np.full(len(x), rate)
+        held = np.zeros(len(h))
         for f in range(FOLDS):
-            use = np.flatnonzero(known & (fold != f))
-            ask = np.flatnonzero(fold == f)
-            w, v, b = _solve([own[i] for i in use], earlier[use], label[use], len(wanted[name]), weight[use])
-            held[ask] = [_sigmoid(w[own[i]].sum() + earlier[i] @ v + b) for i in ask]
+            use, ask = np.flatnonzero(known & (fold != f)), np.flatnonzero(fold == f)
+            held[ask] = _times(full, ask, _solve(full, use, label[use], weight[use]))
         use = np.flatnonzero(known)
-        w, v, b = _solve([own[i] for i in use], earlier[use], label[use], len(wanted[name]), weight[use])
-        chain.append(Link(name, wanted[name], w, v, b if rows[name][1] else -20.0))
-        earlier = np.column_stack((earlier, _log_odds(held)))
+        w = _solve(full, use, label[use], weight[use])
+        chain.append(Link(name, wanted[name], w[:n], w[n:-1], w[-1] if rows[name][1] else -20.0))
+        earlier = np.column_stack((earlier, _log_odds(_sigmoid(held))))
+        del full
     return chain
 
 
