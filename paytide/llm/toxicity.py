@@ -171,20 +171,34 @@ def drawn(marks: DataFrame, names: list[str], most_rows: int) -> DataFrame:
 
     Half of them have a positive label if there are enough. A row's ``weight`` is what its kind
     (with a positive label or without) is of all rows, over what it is of the drawn ones: the
-    weighted rows have the rates of all, and weigh one each on average. Only ids and labels move,
-    and each of 64 parts gives no more than its share can be.
+    weighted rows have the rates of all, and weigh one each on average. Hashes are counted in
+    2**16 ranges; only in the range where a kind's half ends are rows put in order.
     """
+    half = most_rows // 2
     positive = F.greatest(F.lit(0), *[F.coalesce(c, F.lit(0)) for c in names])
     keyed = marks.withColumn("_y", positive).withColumn("_h", F.xxhash64("doc_id"))
-    sizes = {y: n for y, n in keyed.groupBy("_y").count().collect()}
-    taken = {y: min(n, most_rows // 2) for y, n in sizes.items()}
-    # in steps of 2**-16, so that sums do not depend on their order
-    weights = {y: max(1, round(65536 * n / sum(sizes.values()) * sum(taken.values()) / max(1, taken[y]))) / 65536 for y, n in sizes.items()}
-    weight = F.when(F.col("_y") == 1, weights.get(1, 1.0)).otherwise(weights.get(0, 1.0))
-    part = Window.partitionBy("_y", F.pmod("_h", F.lit(64))).orderBy("_h")
-    whole = Window.partitionBy("_y").orderBy("_h")
-    few = keyed.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= most_rows // 2)
-    return few.withColumn("_r", F.row_number().over(whole)).filter(F.col("_r") <= most_rows // 2).withColumn("weight", weight).drop("_y", "_h", "_r")
+    keyed = keyed.withColumn("_range", F.shiftright("_h", 48).cast("int"))
+    counts = keyed.groupBy("_y", "_range").agg(F.count("*").alias("n")).orderBy("_y", "_range").toArrow()  # at most 2**17 rows
+    kind, span, n = (counts.column(c).to_numpy() for c in ("_y", "_range", "n"))
+    whole, cut, weight = F.lit(False), F.lit(False), F.lit(1.0)
+    left = F.lit(0)
+    drawn_rows = sum(min(int(n[kind == y].sum()), half) for y in (0, 1))
+    for y in (0, 1):
+        own = n[kind == y]
+        if not own.sum():
+            continue
+        before = np.cumsum(own) - own
+        last = max(0, int(np.searchsorted(before, half)) - 1)
+        this, end = F.col("_y") == y, int(span[kind == y][last])
+        whole = whole | (this & (F.col("_range") < end))
+        cut = cut | (this & (F.col("_range") == end))
+        left = F.when(this, half - int(before[last])).otherwise(left)
+        # in steps of 2**-16, so that sums do not depend on their order
+        share = own.sum() / n.sum() * drawn_rows / max(1, min(own.sum(), half))
+        weight = F.when(this, max(1, round(65536 * share)) / 65536).otherwise(weight)
+    order = Window.partitionBy("_y").orderBy("_h", *names)
+    ending = keyed.filter(cut).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= left).drop("_r")
+    return keyed.filter(whole).union(ending).withColumn("weight", weight).drop("_y", "_h", "_range")
 
 
 def fit(labelled: DataFrame, names: list[str], most_features: int = 256, least: float = 20.0) -> list[Link]:

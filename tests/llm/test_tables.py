@@ -229,6 +229,17 @@ def test_decisions_do_not_turn_with_the_number_of_labels(spark):
         assert {x.doc_id: x.toxic for x in got} == {1: False, 2: True, 3: False}
 
 
+def test_draw_takes_the_lowest_hashes_of_each_kind(spark):
+    marks = spark.range(3000).selectExpr("id AS doc_id", "cast(id % 3 = 0 AS int) AS low_quality", "cast(id % 10 = 0 AS int) AS toxic")
+    hashed = marks.selectExpr("*", "xxhash64(doc_id) AS h", "greatest(low_quality, toxic) AS y").collect()
+    for most in (2, 100, 2500, 10_000):
+        want = {r.doc_id for y in (0, 1) for r in sorted((r for r in hashed if r.y == y), key=lambda r: r.h)[: most // 2]}
+        got = toxicity.drawn(marks, toxicity.CATEGORIES, most).collect()
+        assert {r.doc_id for r in got} == want and len(got) == len(want)
+        positive = sum(r.weight for r in got if r.low_quality or r.toxic) / sum(r.weight for r in got)
+        assert abs(positive - sum(r.y for r in hashed) / 3000) < 1e-3
+
+
 def test_toxicity_of_odd_tables(spark):
     docs, labels = rude_rows(80)
     frame = spark.createDataFrame([*docs, (500, None), (501, ""), (502, "fool " * 40000), (3, docs[3][1])], DOC)
