@@ -11,11 +11,13 @@ from paytide.functions.timing import (
     aligned_cut,
     as_of,
     boundary_minutes,
+    instant,
     last,
     micros_between,
     month_key,
     seconds_between,
 )
+from paytide.operators.answers import MOST_ROWS, document, stamp
 from paytide.operators.versions import live
 
 QUANTILES = {"p95_seconds": 0.95, "p99_seconds": 0.99}
@@ -188,22 +190,12 @@ def volume_now(raw: DataFrame, minutes: int = 5, anchor: Instant | None = None)
     )
 
 
-def to_payload(rows: DataFrame, window: str, anchor: Instant, *columns: str) -> DataFrame:
-    """One JSON document: window, anchor and the result rows, ordered by count."""
-    anchor_col = anchor if isinstance(anchor, Column) else F.lit(anchor)
-    data = F.sort_array(
-        F.collect_list(F.struct((-F.col("tx_count")).alias("_o"), *columns)), asc=True
-    )
-    packed = F.transform(data, lambda r: F.struct(*[r[c].alias(c) for c in columns]))
-    return rows.agg(packed.alias("data")).select(
-        F.to_json(
-            F.struct(
-                F.lit(window).alias("window"),
-                F.date_format(anchor_col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("anchor"),
-                "data",
-            )
-        ).alias("payload")
-    )
+def to_payload(
+    rows: DataFrame, window: str, anchor: Instant, *columns: str, limit: int = MOST_ROWS
+) -> DataFrame:
+    """One JSON document: window, anchor and the first ``limit`` result rows, ordered by count."""
+    order = [-F.col("tx_count"), *map(F.col, columns)]
+    return document(rows, order, list(columns), limit, window=F.lit(window), anchor=stamp(instant(anchor)))
 
 
 def hourly_drilldown(
