@@ -10,8 +10,9 @@ A kept context gives its frequent next words their discounted share and passes t
 mass on to the suffix context, down to the root, which is the add-one word distribution. Each
 state's distribution sums to one. A word is scored by the longest kept suffix of what precedes it.
 
-Support grows as the square root of the corpus, so the tree grows with the input; at most
-``MOST`` runs a level can reach it, which bounds what is broadcast. Words are 64-bit hashes.
+Support grows as the square root of the corpus and nothing else limits a level: N / support runs
+at most, so the broadcast tree grows with the input, as sqrt(N) / c0. The counts of at least
+total / ``MOST`` words are broadcast too; those of the others are joined. Words are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -120,7 +121,7 @@ def _counted(docs: DataFrame, keys_of) -> DataFrame:
 
 
 def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (sorted, unsigned) and counts; only called on tables whose size is bounded."""
+    """Keys (sorted, unsigned) and counts; only called on tables that support or MOST bounds."""
     found = counts.select("key", "c").toArrow()
     keys = found.column("key").to_numpy().astype(np.int64).view(U)
     order = np.argsort(keys)
@@ -162,9 +163,9 @@ def _shared(docs: DataFrame, value):
 def fit(training: DataFrame, words: DataFrame, documents: int, depth: int = 3, c0: float = 0.02, discount: float = 0.5) -> Model:
     """Grow the tree over (text) rows whose word counts are ``words`` (key, c)."""
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).head()
-    support = max(2, math.ceil(c0 * math.sqrt(total)), -(-total // MOST))
-    # at most MOST words can be as frequent as this
-    frequent, frequent_counts = _collected(words.filter(F.col("c") >= max(1, -(-total // MOST))))
+    support = max(2, math.ceil(c0 * math.sqrt(total)))
+    # the tree needs all words of its support; of the others, at most MOST can be as frequent as total / MOST
+    frequent, frequent_counts = _collected(words.filter(F.col("c") >= min(support, max(1, -(-total // MOST)))))
     keep = frequent_counts >= support
     vocabulary = np.append(frequent[keep], START)
     counts = np.append(frequent_counts[keep], documents)

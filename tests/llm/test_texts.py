@@ -129,6 +129,18 @@ def test_scores_are_those_of_a_tree_of_dictionaries(spark):
         assert sum(10 ** tree.logp(s, w) for w in [*tree.c, "never seen"]) == pytest.approx(1)
 
 
+def test_no_run_is_lost_when_few_words_are_broadcast(spark, monkeypatch):
+    rows = lm_rows()
+    docs = spark.createDataFrame(rows, DOC)
+    whole = {r.doc_id: r for r in lm.score_documents(docs).collect()}
+    monkeypatch.setattr(lm, "MOST", 4)
+    got = {r.doc_id: r for r in lm.score_documents(docs).collect()}
+    assert got.keys() == whole.keys()
+    for i, r in got.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (whole[i].n_tokens, whole[i].n_known, whole[i].train_tokens)
+        assert r.base_score == pytest.approx(whole[i].base_score, rel=1e-9) and r.score == pytest.approx(whole[i].score, rel=1e-9)
+
+
 def test_scores_without_training_rows(spark):
     held = [(i, "a b") for i in range(60) if brute.crc(i) % 7 == 2]
     got = lm.score_documents(spark.createDataFrame(held, DOC)).collect()
