@@ -1,8 +1,9 @@
 """Watermark scans: bursts, late commits, full scans and crash-safe state."""
 
+import random
 from datetime import date, timedelta
 
-from conftest import T0, payment
+from conftest import T0, payment, plan
 from pyspark.sql import functions as F
 
 from paytide.functions.position import page_of, with_position
@@ -36,6 +37,32 @@ def test_burst_larger_than_a_batch_is_fully_delivered(spark, make_tx, tmp_path):
     assert (state["last_updated_at"], state["last_id"], state["rows_synced"]) == (T0, 60, 60)
 
 
+def test_a_large_batch_is_cut_by_counting(spark, make_tx, monkeypatch):
+    monkeypatch.setattr(increment, "IN_ORDER", 0)
+    order = random.Random(1)
+    at = [T0 + timedelta(microseconds=order.choice((0, 0, 7, 10**9)) * (i % 3)) for i in range(60)]
+    tx = make_tx([payment(i * 10**17 - 3 * 10**18, at[i], updated_at=at[i]) for i in range(60)])
+    empty = [payment(None, T0, updated_at=T0), payment(4, T0, updated_at=None), payment(None, T0, updated_at=None)]
+    copied = tx.unionByName(tx.filter("id % 7 < 3")).unionByName(tx.filter("id = 0")).unionByName(make_tx(empty)).repartition(5)
+
+    def pairs(rows):
+        return sorted((r.updated_at is not None, r.updated_at or T0, r.id is not None, r.id or 0) for r in rows.select("updated_at", "id").collect())
+
+    whole = pairs(copied)
+    for listed, bits in ((1 << 14, 12), (4, 2), (0, 3)):
+        monkeypatch.setattr(increment, "LISTED", listed)
+        monkeypatch.setattr(increment, "RANGE_BITS", bits)
+        for n in (1, 2, 17, 40, len(whole) - 1, len(whole), 200):
+            first, more = increment.first_rows(copied, n)
+            assert pairs(first) == whole[:n] and more == (n < len(whole))
+
+
+def test_a_large_batch_is_not_ordered_in_one_task(spark, make_tx):
+    rows = make_tx([payment(i, T0) for i in range(increment.IN_ORDER + 20)])
+    text = plan(increment.read_increment(rows, START, batch=increment.IN_ORDER + 10))
+    assert "TakeOrdered" not in text and "Limit" not in text
+
+
 def test_state_survives_until_committed(spark, make_tx, tmp_path):
     path = str(tmp_path / "s")
     first = make_tx([payment(1, T0)])
