@@ -235,14 +235,15 @@ def stream_tumbling_hourly(v: Views):
     rows = v.table("events")
     arrived = v.visible_at(transactions(rows)).alias("arrived")
     rows = stored(transactions(rows).select("*", arrived).drop("metadata"), "rows")
+    stream = v.spark.readStream.schema(rows.schema).parquet
     edges = [datetime(2023, 12, 1), *(datetime(2024, 1, d) for d in (7, 13, 19, 25)), datetime(2024, 12, 1)]
     for a, b in zip(edges, edges[1:], strict=False):
         some = rows.filter((F.col("arrived") >= F.lit(a)) & (F.col("arrived") < F.lit(b)))
-        some.repartitionByRange(2, "arrived").write.mode("append").parquet(source)
-    stream = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    counting, late = windows.start(stream, layout, "arrived", "6 hours")
-    for started in (counting, late):
-        started.awaitTermination()
+        # as many files as the rows fill; what has arrived is one batch, so none overtakes another
+        some.write.mode("append").parquet(source)
+        counting, late = windows.start(stream(source), layout, "arrived", "6 hours")
+        for started in (counting, late):
+            started.awaitTermination()
     windows.refresh_late(v.spark, layout, rows, windows.closed_until(counting))
     return windows.read(v.spark, layout).drop("yyyymm")
 
